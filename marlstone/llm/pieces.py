@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .merging import PART_BYTES, PairTable, merge_words, parts, ragged_index, space_words
+from .shipping import ship
 
 SPACE = "▁"
 #: Distinct words kept with their ids in one Python worker, at most.
@@ -153,16 +154,16 @@ def encode_texts(texts: pa.Array, model: dict):
         place = memo.places([SPACE + w for w in distinct], model)[index]
         sizes, begins, flat = memo.sizes, memo.begins, memo.flat
         empty = pc.equal(part, "").to_numpy(zero_copy_only=False)
+        slow = {i: split(SPACE + part[i].as_py().replace(" ", SPACE)) for i in np.flatnonzero(whole & ~empty).tolist()}
+        known = list(dict.fromkeys(w for words in slow.values() for w in words))
+        own, n = encode_words(known, model)
+        at, own_begins = dict(zip(known, range(len(known)))), np.cumsum(n) - n
         for i in range(len(part)):
             if empty[i]:
                 yield np.zeros(0, np.int32)
-            elif whole[i]:
-                words = split(SPACE + part[i].as_py().replace(" ", SPACE))
-                known = list(dict.fromkeys(words))
-                ids, n = encode_words(known, model)
-                at = dict(zip(known, range(len(known))))
-                which = np.fromiter(map(at.__getitem__, words), np.int64, len(words))
-                yield ids[ragged_index((np.cumsum(n) - n)[which], n[which])]
+            elif i in slow:
+                which = np.fromiter(map(at.__getitem__, slow[i]), np.int64, len(slow[i]))
+                yield own[ragged_index(own_begins[which], n[which])]
             else:
                 which = place[offsets[i] : offsets[i + 1]]
                 yield flat[ragged_index(begins[which], sizes[which])]
@@ -186,6 +187,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     """Encode, then decode the ids again. Returns (id, n_tokens, ids_sha256, decoded_sha256); with ``full`` also
     ids (array of int) and decoded (string). One narrow pass, no shuffle; the model's tables are broadcast (fixed by
     the model file, about 12 MB)."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(load_model(model_path))
 
     def packed(ids, rows):

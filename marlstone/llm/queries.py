@@ -7,7 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import decontam, linededup
+from .decontam import contamination_report
+from .linededup import dedup_lines
+from .maintext import extract_main_text
 from .pieces import encode_documents
+from .quality import fit_quality_model, quality_scores
+from .secrets import secret_digest
 from .tokencount import token_counts
 
 
@@ -19,9 +25,31 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_scores(docs, fit_quality_model(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op4_sentence_pieces)}
-ORACLES: dict[str, str] = {}
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(table(spark, sf_dir, "documents"))
+
+
+_ALL = (op1_token_counts, op2_quality, op4_sentence_pieces, op5_main_text, op6_line_dedup, op7_decontamination, op8_secrets)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
+ORACLES: dict[str, str] = {"op6_line_dedup": linededup.ORACLE, "op7_decontamination": decontam.ORACLE}

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .merging import PairTable, merge_words, parts, space_words
+from .shipping import ship
 
 #: White space and the contraction endings of the byte-level split.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -114,9 +115,10 @@ def count_texts(texts: pa.Array, vocabulary: dict) -> np.ndarray:
     out = np.zeros(len(texts), np.int64)
     for begin, part in parts(texts):
         whole = pc.match_substring_regex(part, joined).to_numpy(zero_copy_only=False)
-        for i in np.flatnonzero(whole).tolist():
-            words, special = apart(part[i].as_py())
-            out[begin + i] = _count_lists([words], vocabulary, memo)[0] + special
+        slow = np.flatnonzero(whole)
+        if len(slow):
+            lists, special = zip(*(apart(text) for text in part.take(pa.array(slow)).to_pylist()))
+            out[begin + slow] = np.array(_count_lists(list(lists), vocabulary, memo)) + np.array(special)
         part = pc.if_else(pa.array(whole), pa.scalar("", pa.large_string()), part)
         distinct, index, offsets = space_words(part)
         if new := [w for w in distinct if w not in chunks]:
@@ -138,6 +140,7 @@ def token_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
     """(id, n_bytes, n_tokens, over_limit) of every row; one narrow pass, no shuffle.
 
     The merge table (fixed by the vocabulary file, about 3 MB) is read by the driver and broadcast."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(vocabulary_path))
 
     def count(batches):
