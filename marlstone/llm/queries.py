@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import decontam, linededup
 from .decontam import contamination_report
+from .jaccard import jaccard_components
 from .linededup import dedup_lines
 from .maintext import extract_main_text
 from .pieces import encode_documents
@@ -30,6 +31,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(docs, fit_quality_model(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op4_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -50,6 +55,6 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
-_ALL = (op1_token_counts, op2_quality, op4_sentence_pieces, op5_main_text, op6_line_dedup, op7_decontamination, op8_secrets)
+_ALL = (op1_token_counts, op2_quality, op3_jaccard_join, op4_sentence_pieces, op5_main_text, op6_line_dedup, op7_decontamination, op8_secrets)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {"op6_line_dedup": linededup.ORACLE, "op7_decontamination": decontam.ORACLE}

@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 
@@ -23,3 +23,11 @@ def ship(spark: SparkSession) -> None:
             z.write(source, source.relative_to(package.parent))
     context.addPyFile(str(target))
     _SHIPPED.add(context.applicationId)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` as files in the shared checkpoint folder; a folder of our own is set only where the session names none."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    return df.checkpoint()
