@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam, linededup
+from . import decontam, embed, linededup
 from .decontam import contamination_report
+from .embed import near_duplicates
 from .jaccard import jaccard_components
+from .licenses import scan_licenses
 from .linededup import dedup_lines
 from .maintext import extract_main_text
 from .pieces import encode_documents
@@ -55,6 +58,17 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
-_ALL = (op1_token_counts, op2_quality, op3_jaccard_join, op4_sentence_pieces, op5_main_text, op6_line_dedup, op7_decontamination, op8_secrets)
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no paths of their own: source, language and a hundred of ids make the folders."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return scan_licenses(docs.select("doc_id", path.alias("path"), "text"), ["doc_id"])
+
+
+_ALL = (op1_token_counts, op2_quality, op3_jaccard_join, op4_sentence_pieces, op5_main_text, op6_line_dedup, op7_decontamination, op8_secrets, op9_embedding_dedup, op10_licenses)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
-ORACLES: dict[str, str] = {"op6_line_dedup": linededup.ORACLE, "op7_decontamination": decontam.ORACLE}
+ORACLES: dict[str, str] = {"op6_line_dedup": linededup.ORACLE, "op7_decontamination": decontam.ORACLE, "op9_embedding_dedup": embed.ORACLE}

@@ -25,9 +25,15 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` as files in the shared checkpoint folder; a folder of our own is set only where the session names none."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that the session names; one of our own only where it names none, as in tests."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` as files in the shared checkpoint folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
