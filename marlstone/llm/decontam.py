@@ -36,26 +36,26 @@ def words_of(text: Column) -> Column:
 
 def _grams(words: Column, size: int) -> Column:
     """Hash of each run of ``size`` words, in order; empty if there are fewer."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
     upto = F.size(words) - size
-    return F.when(upto >= 0, F.transform(F.sequence(F.lit(0), F.greatest(upto, F.lit(0))), lambda i: F.xxhash64(F.slice(words, i + 1, size)))).otherwise(F.array().cast("array<bigint>")) if size > 1 else hashes
+    return F.when(upto >= 0, F.transform(F.sequence(F.lit(1), F.greatest(upto, F.lit(0)) + 1), lambda i: F.xxhash64(F.slice(words, i, size)))).otherwise(F.array().cast("array<bigint>"))
 
 
-def fingerprints(words: Column) -> Column:
-    """array of struct(pos, h): the k-grams that are the least of some span of SPAN k-grams."""
-    return F.transform(F.array(words), lambda w: _selected(_grams(w, GRAM)))[0]
+def fingerprints(grams: Column) -> Column:
+    """The least of each SPAN consecutive k-grams, each hash once."""
 
-
-def _selected(grams: Column) -> Column:
     def of(g: Column) -> Column:
         upto = F.size(g) - SPAN
-        least = F.when(upto >= 0, F.transform(F.sequence(F.lit(0), F.greatest(upto, F.lit(0))), lambda i: F.array_min(F.slice(g, i + 1, SPAN)))).otherwise(F.array().cast("array<bigint>"))
-        picked = lambda m: F.filter(F.transform(g, lambda h, i: F.struct(i.alias("pos"), h.alias("h"))), lambda x: F.array_contains(F.slice(m, F.greatest(x["pos"] - (SPAN - 2), F.lit(1)), SPAN), x["h"]))
-        return F.when(upto >= 0, F.transform(F.array(least), picked)[0]).otherwise(F.array().cast("array<struct<pos:int,h:bigint>>"))
+        least = F.transform(F.sequence(F.lit(1), F.greatest(upto, F.lit(0)) + 1), lambda i: F.array_min(F.slice(g, i, SPAN)))
+        return F.when(upto >= 0, F.array_distinct(least)).otherwise(F.array().cast("array<bigint>"))
 
     return F.transform(F.array(grams), of)[0]
 
 
+def _short(words: Column, n: int) -> Column:
+    """Hash of each run of n words, each once."""
+    return F.array_distinct(_grams(words, n))
+
+
 def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` and hits: struct(n_words, windows: array of struct(item, start, size) that occur)."""
     wanted = items.select(F.col(item_col).cast("string").alias("item"), words_of(F.col(item_text_col)).alias("words")).filter("item IS NOT NULL AND size(words) > 0").distinct()
@@ -68,17 +68,21 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     index = F.broadcast(index) if small else index
 
     keyed = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("body"), words_of(F.col(text_col)).alias("w")).filter(F.size("w") > 0)
-    prints = [keyed.select("doc", "body", F.explode(fingerprints(F.col("w"))).alias("x")).select("doc", "body", F.col("x.pos").alias("pos"), F.col("x.h").alias("h"), F.lit(GRAM).alias("n"))]
-    prints += [keyed.select("doc", "body", F.posexplode(F.transform(F.array("w"), lambda w, n=n: _short(w, n))[0]).alias("pos", "h")).withColumn("n", F.lit(n)) for n in lengths]
-    every = prints[0]
-    for more in prints[1:]:
-        every = every.unionByName(more)
-    found = every.join(index, ["h", "n"]).select("doc", "body", F.struct("item", "words", (F.col("pos") - F.col("at")).alias("shift")).alias("x"))
+    every = keyed.select("doc", "body", F.explode(fingerprints(_grams(F.col("w"), GRAM))).alias("h")).withColumn("n", F.lit(GRAM))
+    for n in lengths:
+        every = every.unionByName(keyed.select("doc", "body", F.explode(_short(F.col("w"), n)).alias("h"), F.lit(n).alias("n")))
+    found = every.join(index, ["h", "n"]).select("doc", "body", F.struct("h", "n", "item", "words", "at").alias("x"))
     aligned = found.groupBy("doc", "body").agg(F.collect_set("x").alias("xs"))
 
-    d, a = docs.withColumn("_words", words_of(F.col(text_col))).alias("d"), aligned.alias("a")
-    joined = d.join(a, F.col(f"d.{id_col}").eqNullSafe(F.col("a.doc")) & (F.xxhash64(F.col(f"d.{text_col}")) == F.col("a.body")), "left")
-    own = F.col("d._words")
+    joined = docs.alias("d").join(aligned.alias("a"), F.col(f"d.{id_col}").eqNullSafe(F.col("a.doc")) & (F.xxhash64(F.col(f"d.{text_col}")) == F.col("a.body")), "left")
+    joined = joined.select("d.*", F.col("a.xs").alias("_xs"), words_of(F.col(f"d.{text_col}")).alias("_words"))
+    own = F.col("_words")
+
+    def shifts(x: Column) -> Column:
+        """Alignments of one hit: every place of the document with the hash of the item's k-gram."""
+        upto = F.size(own) - x["n"]
+        places = F.filter(F.sequence(F.lit(0), F.greatest(upto, F.lit(0))), lambda i: (i <= upto) & (F.xxhash64(F.slice(own, i + 1, x["n"])) == x["h"]))
+        return F.transform(places, lambda i: F.struct(x["item"].alias("item"), x["words"].alias("words"), (i - x["at"]).alias("shift")))
 
     def extended(x: Column) -> Column:
         size = F.least(F.size(x["words"]), F.lit(WINDOW))
@@ -87,13 +91,9 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
         fits = lambda j: (begin(j) >= 0) & F.when(begin(j) >= 0, F.slice(own, F.greatest(begin(j), F.lit(0)) + 1, size) == F.slice(x["words"], j + 1, size)).otherwise(False)
         return F.transform(F.filter(F.sequence(F.lit(0), last), fits), lambda j: F.struct(x["item"].alias("item"), begin(j).alias("start"), size.alias("size")))
 
-    windows = F.when(F.col("a.xs").isNull(), F.array().cast("array<struct<item:string,start:int,size:int>>")).otherwise(F.flatten(F.transform("a.xs", extended)))
-    return joined.select(*(F.col(f"d.{c}") for c in docs.columns), F.struct(F.coalesce(F.size(own), F.lit(0)).alias("n_words"), windows.alias("windows")).alias("hits"))
-
-
-def _short(words: Column, n: int) -> Column:
-    upto = F.size(words) - n
-    return F.when(upto >= 0, F.transform(F.sequence(F.lit(0), F.greatest(upto, F.lit(0))), lambda i: F.xxhash64(F.slice(words, i + 1, n)))).otherwise(F.array().cast("array<bigint>"))
+    alignments = F.array_distinct(F.flatten(F.transform("_xs", shifts)))
+    windows = F.when(F.col("_xs").isNull(), F.array().cast("array<struct<item:string,start:int,size:int>>")).otherwise(F.flatten(F.transform(alignments, extended)))
+    return joined.select(*docs.columns, F.struct(F.coalesce(F.size(own), F.lit(0)).alias("n_words"), windows.alias("windows")).alias("hits"))
 
 
 def contamination_report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **columns: str) -> DataFrame:
