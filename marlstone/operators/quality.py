@@ -86,6 +86,11 @@ def active(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("disposition").isin(*DISPOSITIONS[:2]))
 
 
+def _day(name: str) -> Column:
+    """The date of a date, timestamp or text column; text that is none counts as missing."""
+    return F.to_date(F.col(name).try_cast("timestamp"))
+
+
 def relationship_failures(rows: DataFrame, targets: DataFrame, spec: Relationship, row_id: str = "row_id") -> DataFrame:
     """(row id) of active rows whose relationship does not resolve to exactly one active target."""
     source = active(rows)
@@ -95,8 +100,8 @@ def relationship_failures(rows: DataFrame, targets: DataFrame, spec: Relationshi
     whole = F.lit(True)
     for name, _ in spec.keys:
         whole = whole & (F.coalesce(key(name).cast("string"), F.lit("")) != "")
-    pointing = source.select(row_id, *(key(s).alias(f"_k{i}") for i, (s, _) in enumerate(spec.keys)), (F.to_date(F.col(spec.as_of)) if spec.as_of else F.lit(None).cast("date")).alias("_day"), whole.alias("_whole"))
-    wanted = active(targets).select(*(F.col(t).alias(f"_t{i}") for i, (_, t) in enumerate(spec.keys)), *((F.to_date(F.col(spec.start)).alias("_from"), F.to_date(F.col(spec.end)).alias("_to")) if spec.as_of else ()), F.lit(1).alias("_hit"))
+    pointing = source.select(row_id, *(key(s).alias(f"_k{i}") for i, (s, _) in enumerate(spec.keys)), (_day(spec.as_of) if spec.as_of else F.lit(None).cast("date")).alias("_day"), whole.alias("_whole"))
+    wanted = active(targets).select(*(F.col(t).alias(f"_t{i}") for i, (_, t) in enumerate(spec.keys)), *((_day(spec.start).alias("_from"), _day(spec.end).alias("_to")) if spec.as_of else ()), F.lit(1).alias("_hit"))
     on = F.col("_whole")
     for i in range(len(spec.keys)):
         on = (F.col(f"_k{i}") == F.col(f"_t{i}")) & on
