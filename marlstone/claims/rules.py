@@ -9,6 +9,7 @@ from ..functions.scalars import typed
 from ..operators import quality as Q
 from ..operators import windows as W
 from .contracts import KEYS, contracts
+from .ledger import applied_failures, reversal_failures
 
 R = Q.Relationship
 
@@ -133,7 +134,13 @@ def evaluate(frames: dict[str, DataFrame], evaluated: Column, keep) -> dict:
     """Rows, counts, findings and the gate of a batch of all fourteen sources."""
     absent = contracts().keys() - frames.keys()
     judged = {name: keep(classify(name, df, evaluated)) for name, df in frames.items()}
-    judged = Q.settle_relationships(judged, [r for r in RELATIONSHIPS if r.source in judged and r.target in judged], keep)
+    declared = [r for r in RELATIONSHIPS if r.source in judged and r.target in judged]
+    judged = Q.settle_relationships(judged, declared, keep)
+    if {"payments", "claims", "claim-lines"} <= judged.keys():
+        broken = [("PAY-008", "reverses_payment_id", reversal_failures(judged["payments"])), ("PAY-009", "amount", applied_failures(judged["payments"], judged["claims"], judged["claim-lines"]))]
+        for rule, field, failed in broken:
+            judged["payments"] = keep(Q.with_issue(judged["payments"], failed, rule, field, rule))
+        judged = Q.settle_relationships(judged, declared, keep)
     every = _union([df.select(F.lit(n).alias("identity"), "row_id", "issues", "disposition") for n, df in judged.items()])
     findings = every.filter("disposition = 'rejected'").select(F.lit("CMN-016").alias("rule_id"), "identity").distinct()
     if "remittances" in judged and "payments" in judged:

@@ -113,6 +113,14 @@ def relationship_failures(rows: DataFrame, targets: DataFrame, spec: Relationshi
     return counted.filter(fails).select(row_id).distinct()
 
 
+def with_issue(rows: DataFrame, failed: DataFrame, rule_id: str, field: str, reason: str, disposition: str = "quarantined") -> DataFrame:
+    """``rows`` with one more issue on those whose row_id is in ``failed``."""
+    added = F.struct(F.lit(rule_id).alias("rule_id"), F.lit(disposition).alias("disposition"), F.lit(field).alias("field"), F.lit(reason).alias("reason"))
+    hit = rows.join(failed.select("row_id").distinct().withColumn("_failed", F.lit(True)), "row_id", "left")
+    issues = F.when(F.col("_failed"), F.array_append("issues", added)).otherwise(F.col("issues"))
+    return hit.withColumn("issues", issues).withColumn("disposition", gravest(F.col("issues"))).drop("_failed")
+
+
 def settle_relationships(frames: dict[str, DataFrame], specs: list[Relationship], keep, rounds: int = 15) -> dict[str, DataFrame]:
     """Quarantines failing rows until nothing changes. Identities are taken in the order given (targets first), so one
     pass settles everything but self edges; ``keep`` cuts the lineage of a frame after each change."""
@@ -123,10 +131,7 @@ def settle_relationships(frames: dict[str, DataFrame], specs: list[Relationship]
             if failed.isEmpty():
                 continue
             changed = True
-            added = F.struct(F.lit(spec.rule_id).alias("rule_id"), F.lit("quarantined").alias("disposition"), F.lit(spec.name).alias("field"), F.lit("unresolved").alias("reason"))
-            hit = frames[spec.source].join(failed.withColumn("_failed", F.lit(True)), "row_id", "left")
-            issues = F.when(F.col("_failed"), F.array_append("issues", added)).otherwise(F.col("issues"))
-            frames[spec.source] = keep(hit.withColumn("issues", issues).withColumn("disposition", gravest(F.col("issues"))).drop("_failed"))
+            frames[spec.source] = keep(with_issue(frames[spec.source], failed, spec.rule_id, spec.name, "unresolved"))
         if not changed:
             return frames
     raise RuntimeError(f"relationships did not settle in {rounds} rounds")

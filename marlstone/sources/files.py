@@ -79,6 +79,14 @@ def publish_folder(write, target: str) -> None:
         shutil.rmtree(staging, ignore_errors=True)
 
 
+def recover_folder(target: str) -> str:
+    """After an interrupted publish: 'complete' if the folder is there, else what was staged is discarded."""
+    staged = [p for p in Path(target).parent.glob(f"{Path(target).name}.staging-*")]
+    for p in staged:
+        shutil.rmtree(p)
+    return "complete" if os.path.exists(target) else "discarded" if staged else "absent"
+
+
 def split_by_disposition(rows: DataFrame, target: str) -> None:
     """Validated, quarantined and rejected rows and all issues; one pass over a checkpointed frame each."""
     rows = shared_checkpoint(rows)
