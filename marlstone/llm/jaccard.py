@@ -2,8 +2,8 @@
 
 Set-relation skipping. Documents with equal sets form a class; one set stands for
 it. Index lists are blocked by position: only the leading block of a set, its
-PREFIX rarest shingles in one global order, is ever listed, and two linked sets
-always meet in it; the rest of every list is skipped. Answers are derived from a
+rarest shingles in one global order, is ever listed, and two linked sets always meet
+in it, several times if they are large; the rest of every list is skipped. Answers are derived from a
 highly similar set: sets that are linked to an anchor set by a computed answer
 are listed under the anchor, and the distance between two anchors, with the
 triangle inequality of the Jaccard distance, settles most pairs of their followers
@@ -12,12 +12,14 @@ between different components is lost.
 
 1. One pass over the texts: class key, set size, min-hash keys, a parity bitmap of
    the set, and the shingles that are frequent within the part at hand.
-2. Each set is compared with the smallest set of each of its min-hash keys. A linked
-   set follows that anchor if the anchor follows none itself.
+2. Of the sets that share one of its min-hash keys, each set is compared with the one
+   whose own keys are the most common. A linked set follows that anchor if the anchor
+   follows none itself.
 3. Second pass: the leading block of each class in the order (frequent shingles last,
    hash). Shingle lists are dealt in buckets; sets under one anchor are one entry.
-4. Pairs of anchors that meet are pruned by size and bitmap bounds and compared; open
-   pairs with followers are compared follower by follower.
+4. Pairs of anchors that meet often enough get a least distance from sizes and bitmaps; those that
+   may be linked are compared, and those whose followers may be linked are taken apart
+   follower by follower, by the same bounds, until the components are settled.
 5. Components over all links found.
 
 Defined results: a null or wordless text has an empty set, links with nothing and
@@ -42,16 +44,22 @@ from .shipping import checkpointed, ship
 SHINGLE = 5
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 75
-BANDS = 4
-BITMAP_BITS = 1024
-#: A shingle is frequent from this many sets on, or from this share of all rows, whichever is more. Its place in the
-#: global order changes the cost, never the result. The share bounds how many there are: at most mean set size / share.
-FREQUENT_ROWS, FREQUENT_SHARE = 50, 2e-4
-#: Shingles counted together, and how often one must occur among them to be reported.
-COUNT_SHINGLES, COUNT_LEAST = 4_000_000, 3
+BANDS = 16
+#: Parity bitmaps have the next power of two from so many bits an element on.
+BITMAP_RATE = 4
+#: Shingles are counted so many together; those that occur in COUNT_LEAST sets among them are reported. A shingle is
+#: frequent from FREQUENT_ROWS reported sets on; of frequent ones the FREQUENT_MAX most reported are put last. The order
+#: changes the cost, never the result.
+COUNT_SHINGLES, COUNT_LEAST, FREQUENT_ROWS, FREQUENT_MAX = 1_500_000, 2, 20, 1_000_000
+#: Text cut into words at a time, and listed shingles held before they are dealt.
+TEXT_BYTES, DEAL_SHINGLES = 4_000_000, 1_000_000
 #: Listed shingles of one bucket, about.
 BUCKET_ROWS = 400_000
-_SEEDS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
+#: Classes of a block in the comparison of followers, about.
+CONFRONT_ROWS = 500
+#: Ids of wanted texts are broadcast up to this many (some 30 MB); beyond it they are joined by a shuffle.
+BROADCAST_IDS = 500_000
+_SEEDS = [np.uint64((0x9E3779B97F4A7C15 * (2 * i + 1)) % (1 << 64)) for i in range(BANDS)]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -64,7 +72,7 @@ def shingle_sets(texts: pa.Array):
     """Yields the sorted 64-bit shingle hashes of each text. Sets of equal hashes count as equal."""
     import xxhash
 
-    for _, part in parts(texts):
+    for _, part in parts(texts, TEXT_BYTES):
         part = pc.replace_substring_regex(pc.ascii_lower(part), "[\t-\r]", " ")
         distinct, index, offsets = space_words(part)
         word = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in distinct), np.uint64, len(distinct))
@@ -85,6 +93,8 @@ def shingle_sets(texts: pa.Array):
                 yield h
             else:
                 yield np.zeros(0, np.uint64)
+        del part, word, rolled, index, distinct, there
+        pa.default_memory_pool().release_unused()
 
 
 def _class_key(s: np.ndarray) -> int:
@@ -94,16 +104,33 @@ def _class_key(s: np.ndarray) -> int:
 
 
 def _bitmap(s: np.ndarray) -> bytes:
-    """Parity bitmap: two sets differ in at least as many elements as their bitmaps in bits."""
-    return np.packbits(np.bincount((s >> np.uint64(17)).astype(np.int64) % BITMAP_BITS, minlength=BITMAP_BITS).astype(np.uint8) & 1).tobytes()
+    """Parity bitmap: two sets differ in at least as many elements as their bitmaps, folded to one size, in bits."""
+    bits = 64
+    while bits < BITMAP_RATE * len(s):
+        bits *= 2
+    at = (_mix(s) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def _bits_apart(x: bytes, y: bytes) -> int:
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    n = min(len(a), len(b))
+    a, b = np.bitwise_xor.reduce(a.reshape(-1, n), axis=0), np.bitwise_xor.reduce(b.reshape(-1, n), axis=0)
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def shared_least(n):
+    """Listed shingles that a set of n shares with every linked set that asks for as many."""
+    return 1 + n // 16
 
 
 def prefix_size(n):
-    """Leading elements of a set of n that every linked set must meet in its own leading block."""
-    return n - (PERCENT * n + 99) // 100 + 1
+    """Leading elements of a set of n of which every linked set has shared_least in its own leading block (or as many
+    as it asks for itself, if that is fewer)."""
+    return n - (PERCENT * n + 99) // 100 + shared_least(n)
 
 
-_PROFILE = f"id {{}}, cid bigint, n int, {', '.join(f'm{i} bigint' for i in range(BANDS))}, bitmap binary, token bigint, times int"
+_PROFILE = "id {}, cid bigint, n int, keys array<bigint>, bitmap binary, token bigint, times int"
 
 
 def _profile(batches):
@@ -115,23 +142,22 @@ def _profile(batches):
         token, times = np.unique(np.concatenate(held), return_counts=True)
         token, times = token[times >= COUNT_LEAST], times[times >= COUNT_LEAST]
         nulls = lambda t: pa.nulls(len(token), t)
-        return pa.RecordBatch.from_arrays([nulls(kind), nulls(pa.int64()), nulls(pa.int32()), *(nulls(pa.int64()) for _ in range(BANDS)), nulls(pa.binary()), pa.array(token.view(np.int64)), pa.array(times.astype(np.int32))], names=names)
+        return pa.RecordBatch.from_arrays([nulls(kind), nulls(pa.int64()), nulls(pa.int32()), nulls(pa.list_(pa.int64())), nulls(pa.binary()), pa.array(token.view(np.int64)), pa.array(times.astype(np.int32))], names=names)
 
-    names = ["id", "cid", "n", *(f"m{i}" for i in range(BANDS)), "bitmap", "token", "times"]
+    names = ["id", "cid", "n", "keys", "bitmap", "token", "times"]
     kind = None
     for batch in batches:
         kind = batch.column(0).type
-        cid, n, bands, bitmap = [], [], [[] for _ in range(BANDS)], []
+        cid, n, keys, bitmap = [], [], [], []
         for s in shingle_sets(batch.column(1)):
             cid.append(_class_key(s) if len(s) else None)
             n.append(len(s))
-            for out, seed in zip(bands, _SEEDS):
-                out.append(int((s * seed).min().view(np.int64)) if len(s) else None)
+            keys.append([int((s * seed).min().view(np.int64)) for seed in _SEEDS] if len(s) else None)
             bitmap.append(_bitmap(s) if len(s) else None)
             held.append(s)
             count += len(s)
         nulls = lambda t: pa.nulls(len(n), t)  # noqa: E731, B023
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cid, pa.int64()), pa.array(n, pa.int32()), *(pa.array(b, pa.int64()) for b in bands), pa.array(bitmap, pa.binary()), nulls(pa.int64()), nulls(pa.int32())], names=names)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cid, pa.int64()), pa.array(n, pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array(bitmap, pa.binary()), nulls(pa.int64()), nulls(pa.int32())], names=names)
         if count >= COUNT_SHINGLES:
             yield frequent(kind)
             held, count = [], 0
@@ -187,7 +213,7 @@ def _deal(buckets: int):
                 one = np.frombuffer(block.as_buffer(), np.uint64)
                 tokens.append(one), anchors.append(np.full(len(one), anchor, np.int64))
                 held += len(one)
-            if held >= COUNT_SHINGLES:
+            if held >= DEAL_SHINGLES:
                 yield flush(tokens, anchors)
                 tokens, anchors, held = [], [], 0
         if held:
@@ -197,7 +223,7 @@ def _deal(buckets: int):
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """Distinct pairs of anchors that share a list of this bucket."""
+    """Pairs of anchors that share lists of this bucket, and how many."""
     token = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("tokens")])
     anchor = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table.column("anchors")])
     order = np.lexsort((anchor, token))
@@ -208,9 +234,16 @@ def _meet(table: pa.Table) -> pa.Table:
     start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
     size = np.diff(np.concatenate([start, [len(token)]]))
     dtype = np.dtype([("a", np.int64), ("b", np.int64)])
-    found = np.zeros(0, dtype)
+    found, times = np.zeros(0, dtype), np.zeros(0, np.int64)
     waiting: list[np.ndarray] = []
     held = 0
+
+    def merged():
+        every, place = np.unique(np.concatenate([found, *waiting]), return_inverse=True)
+        weight = np.ones(len(place), np.int64)
+        weight[: len(times)] = times
+        return every, np.bincount(place, weights=weight, minlength=len(every)).astype(np.int64)
+
     for m in np.unique(size[size > 1]).tolist():
         lists = anchor[start[size == m][:, None] + np.arange(m)]
         for i in range(m - 1):  # anchors are sorted within a list, so a < b
@@ -218,21 +251,49 @@ def _meet(table: pa.Table) -> pa.Table:
             pairs["a"], pairs["b"] = np.repeat(lists[:, i], m - 1 - i), lists[:, i + 1 :].ravel()
             waiting.append(pairs)
             held += len(pairs)
-            if held > 2_000_000:
-                found, waiting, held = np.unique(np.concatenate([found, *waiting])), [], 0
-    found = np.unique(np.concatenate([found, *waiting]))
-    return pa.table({"a": pa.array(found["a"].copy()), "b": pa.array(found["b"].copy())})
+            if held > 1_000_000:
+                found, times = merged()
+                waiting, held = [], 0
+    found, times = merged()
+    return pa.table({"a": pa.array(found["a"].copy()), "b": pa.array(found["b"].copy()), "times": pa.array(times)})
 
 
 def _bounded(batches):
-    """Pairs whose sizes and bitmaps leave room for a distance of ``reach``: (n_a + n_b - 2 i) / (n_a + n_b - i) <= reach."""
+    """Pairs with the least distance that their sizes and bitmaps allow, where it is no more than ``reach``."""
     for batch in batches:
         x = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
         n, m, reach = (x[k].to_numpy(zero_copy_only=False).astype(np.float64) for k in ("n_a", "n_b", "reach"))
-        bits = np.bitwise_count(np.frombuffer(b"".join(x["bitmap_a"].to_pylist()), np.uint64) ^ np.frombuffer(b"".join(x["bitmap_b"].to_pylist()), np.uint64)).reshape(len(n), -1).sum(axis=1)
-        apart = np.maximum(bits, np.abs(n - m))  # least size of the symmetric difference; the distance is apart / union, the union (n + m + apart) / 2
-        keep = 2 * apart <= reach * (n + m + apart) + 1e-9
-        yield pa.RecordBatch.from_arrays([x["a"], x["b"], x["reach"]], names=["a", "b", "reach"]).filter(pa.array(keep))
+        bits = np.array([_bits_apart(p, q) for p, q in zip(x["bitmap_a"].to_pylist(), x["bitmap_b"].to_pylist())], np.float64)
+        apart = np.maximum(bits, np.abs(n - m))  # least size of the symmetric difference; the union is (n + m + apart) / 2
+        low = 2 * apart / (n + m + apart)
+        yield pa.RecordBatch.from_arrays([x["a"], x["b"], pa.array(low)], names=["a", "b", "low"]).filter(pa.array(low <= reach + 1e-9))
+
+
+def _folded(bitmaps: list[bytes], words: int) -> np.ndarray:
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, words), axis=0) for x in bitmaps])
+
+
+def _confronted(table: pa.Table) -> pa.Table:
+    """Pairs of a left and a right class of one block whose least distance is within the right one's reach."""
+    side, cid, n = (table.column(c).to_numpy() for c in ("side", "cid", "n"))
+    reach, bitmap = table.column("reach").to_numpy(), table.column("bitmap").to_pylist()
+    words = np.array([len(x) // 8 for x in bitmap])
+    out: list[tuple[np.ndarray, ...]] = []
+    for u in np.unique(words[side == 0]).tolist():
+        for v in np.unique(words[side == 1]).tolist():
+            left, right = np.flatnonzero((side == 0) & (words == u)), np.flatnonzero((side == 1) & (words == v))
+            x, y = _folded([bitmap[k] for k in left], min(u, v)), _folded([bitmap[k] for k in right], min(u, v))
+            step = max(1, 1_000_000 // (len(right) * min(u, v)))
+            for begin in range(0, len(left), step):
+                some = left[begin : begin + step]
+                bits = np.bitwise_count(x[begin : begin + step, None] ^ y[None]).sum(axis=2, dtype=np.int64)
+                both = n[some][:, None].astype(np.float64) + n[right][None]
+                apart = np.maximum(bits, np.abs(n[some][:, None].astype(np.int64) - n[right][None]))
+                low = 2 * apart / (both + apart)
+                i, j = np.nonzero((low <= reach[right][None] + 1e-9) & (cid[some][:, None] != cid[right][None]))
+                out.append((cid[some[i]], cid[right[j]], low[i, j]))
+    p, q, low = (np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    return pa.table({"a": pa.array(np.minimum(p, q)), "b": pa.array(np.maximum(p, q)), "low": pa.array(low)})
 
 
 def _compared(batches):
@@ -250,6 +311,10 @@ def _compared(batches):
 _LINKED = f"100 * inter >= {PERCENT} * uni"
 
 
+#: Distance of linked sets, at most.
+EDGE = 1 - PERCENT / 100
+
+
 class _Join:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str):
         ship(docs.sparkSession)
@@ -261,94 +326,104 @@ class _Join:
         """(profile of every row, links between classes)."""
         profile = checkpointed(self.texts.mapInArrow(_profile, _PROFILE.format(self.kind)))
         rows = profile.filter("token IS NULL").select("id", "cid", "n")
-        classes = profile.filter("cid IS NOT NULL").groupBy("cid").agg(F.min("id").alias("id"), F.min("n").alias("n"), *(F.min(f"m{i}").alias(f"m{i}") for i in range(BANDS)), F.max("bitmap").alias("bitmap"))
+        classes = profile.filter("cid IS NOT NULL").groupBy("cid").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.first("keys").alias("keys"), F.first("bitmap").alias("bitmap"))
         self.classes = checkpointed(classes)
-        total = rows.count()
-        least = max(FREQUENT_ROWS, FREQUENT_SHARE * total)
-        often = profile.filter("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times")).filter(F.col("times") >= least).select("token").toArrow()
+        self.few = self.classes.count() <= BROADCAST_IDS
+        counted = profile.filter("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times")).filter(F.col("times") >= FREQUENT_ROWS)
+        often = counted.orderBy(F.desc("times"), "token").limit(FREQUENT_MAX).select("token").toArrow()  # 8 MB at most
         frequent = np.sort(often.column(0).to_numpy().astype(np.int64).view(np.uint64)) if often.num_rows else np.zeros(0, np.uint64)
 
         stars = self.compare(self.bounded(self._stars()))
         follows = self._anchors(stars.filter(_LINKED))
-        listed = self.classes.join(follows, "cid", "left").select("cid", "id", F.coalesce("anchor", "cid").alias("anchor"))
-        met = self._met(listed, frequent)
         radius = follows.groupBy("anchor").agg(F.max("far").alias("radius"))
-        met = met.join(radius.select(F.col("anchor").alias("a"), F.col("radius").alias("ra")), "a", "left").join(radius.select(F.col("anchor").alias("b"), F.col("radius").alias("rb")), "b", "left")
-        near = self.compare(self.bounded(met.select("a", "b", (F.lit(1 - PERCENT / 100) + F.coalesce("ra", F.lit(0.0)) + F.coalesce("rb", F.lit(0.0))).alias("reach"))))
-        links = stars.filter(_LINKED).select("a", "b").unionByName(near.filter(_LINKED).select("a", "b"))
-        open_pairs = near.filter(f"NOT ({_LINKED})").select("a", "b", (1 - F.col("inter") / F.col("uni")).alias("d")).join(self._ranges(follows, "a"), "a").join(self._ranges(follows, "b"), "b")
-        open_pairs = checkpointed(open_pairs.filter(F.col("d") <= F.lit(1 - PERCENT / 100 + 1e-9) + F.col("r_a") + F.col("r_b")))
-        return rows, links.unionByName(self._followers(open_pairs, follows, links))
-
-    def _ranges(self, follows: DataFrame, side: str) -> DataFrame:
-        radius = follows.groupBy("anchor").agg(F.max("far").alias("far"))
-        return self.classes.select(F.col("cid").alias("anchor")).join(radius, "anchor", "left").select(F.col("anchor").alias(side), F.coalesce("far", F.lit(0.0)).alias(f"r_{side}"))
+        sides = [radius.select(F.col("anchor").alias(s), F.col("radius").alias(f"r_{s}")) for s in ("a", "b")]
+        met = self._met(self.classes.join(follows, "cid", "left").select("cid", "id", F.coalesce("anchor", "cid").alias("anchor")), frequent)
+        met = met.join(sides[0], "a", "left").join(sides[1], "b", "left").select("a", "b", (F.lit(EDGE) + F.coalesce("r_a", F.lit(0.0)) + F.coalesce("r_b", F.lit(0.0))).alias("reach"))
+        near = self.bounded(met)
+        compared = self.compare(near.filter(F.col("low") <= EDGE + 1e-9))
+        links = checkpointed(stars.filter(_LINKED).select("a", "b").unionByName(compared.filter(_LINKED).select("a", "b")).distinct())
+        # pairs with followers on either side that are not linked themselves
+        open_pairs = near.join(links, ["a", "b"], "left_anti").join(sides[0], "a", "left").join(sides[1], "b", "left").filter("r_a IS NOT NULL OR r_b IS NOT NULL").fillna(0.0, ["r_a", "r_b"])
+        return rows, links.unionByName(self._followers(checkpointed(open_pairs), follows, links))
 
     def _stars(self) -> DataFrame:
-        """Each class with the smallest class of each of its min-hash keys."""
-        keyed = self.classes.select("cid", F.posexplode(F.array(*(f"m{i}" for i in range(BANDS)))).alias("band", "key"))
-        least = keyed.groupBy("band", "key").agg(F.min("cid").alias("a"), F.count("*").alias("times")).filter("times > 1").drop("times")
-        pairs = keyed.join(least, ["band", "key"]).filter("cid <> a").select("a", F.col("cid").alias("b")).distinct()
-        return pairs.withColumn("reach", F.lit(1 - PERCENT / 100))
+        """Each class with the class of the most common keys among those that share a key with it."""
+        keyed = self.classes.select("cid", F.posexplode("keys").alias("band", "key"))
+        common = keyed.groupBy("band", "key").agg(F.count("*").alias("times")).filter("times > 1")
+        shared = checkpointed(keyed.join(common, ["band", "key"]))
+        score = shared.groupBy("cid").agg(F.sum("times").alias("score"))
+        scored = shared.join(score, "cid")
+        lead = scored.groupBy("band", "key").agg(F.max(F.struct("score", "cid")).alias("lead"))
+        best = shared.select("cid", "band", "key").join(lead, ["band", "key"]).groupBy("cid").agg(F.max("lead").alias("lead"))
+        return best.select(F.col("lead.cid").alias("a"), F.col("cid").alias("b"), F.lit(EDGE).alias("reach")).filter("a <> b")
 
     def _anchors(self, links: DataFrame) -> DataFrame:
-        """(cid, anchor, far): classes linked to an anchor, the nearest one; anchors are linked to no smaller class."""
+        """(cid, anchor, far) of the classes that are linked to the class they were compared with, if that one follows none."""
         away = links.select(F.col("b").alias("cid"), F.col("a").alias("anchor"), (1 - F.col("inter") / F.col("uni")).alias("far"))
-        followers = away.select("cid").distinct()
-        free = away.join(followers.select(F.col("cid").alias("anchor")), "anchor", "left_anti")
-        best = free.groupBy("cid").agg(F.min(F.struct("far", "anchor")).alias("x"))
-        return checkpointed(best.select("cid", F.col("x.anchor").alias("anchor"), F.col("x.far").alias("far")))
+        return checkpointed(away.join(away.select(F.col("cid").alias("anchor")), "anchor", "left_anti").select("cid", "anchor", "far"))
 
     def _met(self, listed: DataFrame, frequent: np.ndarray) -> DataFrame:
-        entries = self.classes.agg(F.sum(F.expr("n - (75 * n + 99) div 100 + 1"))).first()[0] or 0
-        buckets = max(int(entries // BUCKET_ROWS) + 1, 2 * int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        entries = self.classes.agg(F.sum(F.expr(f"n - ({PERCENT} * n + 99) div 100 + 1 + n div 16"))).first()[0] or 0
         blocks = self.texts.mapInArrow(_prefixes(frequent), f"id {self.kind}, cid bigint, block binary").filter("cid IS NOT NULL")
         own = listed.select(F.col("id").alias("rep"), F.col("cid").alias("key"), "anchor")
+        own = F.broadcast(own) if self.few else own
         blocks = blocks.join(own, blocks["id"].eqNullSafe(own["rep"]) & (blocks["cid"] == own["key"])).select("anchor", "block")
-        dealt = blocks.mapInArrow(_deal(buckets), "bucket bigint, tokens binary, anchors binary")
-        return dealt.groupBy("bucket").applyInArrow(_meet, "a bigint, b bigint").distinct()
+        dealt = blocks.mapInArrow(_deal(max(int(entries // BUCKET_ROWS) + 1, 24)), "bucket bigint, tokens binary, anchors binary")
+        shared = dealt.groupBy("bucket").applyInArrow(_meet, "a bigint, b bigint, times bigint").groupBy("a", "b").agg(F.sum("times").alias("times"))
+        # an anchor stands for its followers, so it asks for as few as any of them
+        asked = checkpointed(listed.join(self.classes.select("cid", "n"), "cid").groupBy("anchor").agg(F.min(F.expr("1 + n div 16")).alias("asked")))
+        for side in ("a", "b"):
+            shared = shared.join(asked.select(F.col("anchor").alias(side), F.col("asked").alias(f"asked_{side}")), side)
+        return shared.filter(F.col("times") >= F.least("asked_a", "asked_b")).select("a", "b")
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, low): pairs (a, b, reach) whose least distance is within reach."""
         of = lambda side: self.classes.select(F.col("cid").alias(side), F.col("n").alias(f"n_{side}"), F.col("bitmap").alias(f"bitmap_{side}"))
         joined = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "n_b", "bitmap_a", "bitmap_b", "reach")
-        return checkpointed(joined.mapInArrow(_bounded, "a bigint, b bigint, reach double")).select("a", "b")
+        return checkpointed(joined.mapInArrow(_bounded, "a bigint, b bigint, low double"))
 
     def compare(self, pairs: DataFrame) -> DataFrame:
         """(a, b, inter, uni) of pairs (a, b). The sets are made again from the texts of the classes in question."""
         wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-        ids = wanted.join(self.classes, "cid").select(F.col("id").alias("rep")).distinct()
+        ids = checkpointed(wanted.join(self.classes, "cid").select(F.col("id").alias("rep")).distinct())
+        ids = F.broadcast(ids) if self.few or ids.count() <= BROADCAST_IDS else ids
         texts = self.texts.join(ids, self.texts["id"].eqNullSafe(ids["rep"]), "left_semi")
-        sets = texts.select("id", "text").mapInArrow(_sets, "cid bigint, tokens binary").filter("cid IS NOT NULL")
-        sets = checkpointed(sets)
+        sets = checkpointed(texts.select("id", "text").mapInArrow(_sets, "cid bigint, tokens binary").filter("cid IS NOT NULL"))
         of = lambda side: sets.select(F.col("cid").alias(side), F.col("tokens").alias(f"tokens_{side}"))
         joined = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "tokens_a", "tokens_b")
         return checkpointed(joined.mapInArrow(_compared, "a bigint, b bigint, inter bigint, uni bigint"))
 
     def _followers(self, open_pairs: DataFrame, follows: DataFrame, links: DataFrame) -> DataFrame:
-        """Links between followers of two anchors that are too far apart to be linked, but too near to rule it out."""
-        empty = self.spark.createDataFrame([], "a bigint, b bigint")
+        """Links between followers of two anchors (a, b, low, r_a, r_b) that are not linked, but too near to rule it out."""
+        found = links.filter("false")
         apart = self._apart(open_pairs, links)
         if apart.isEmpty():
-            return empty
-        # followers of one side against the other anchor: as many pairs as followers
-        edge = 1 - PERCENT / 100 + 1e-9
-        of = follows.select(F.col("anchor").alias("x"), F.col("cid").alias("y"), "far")
-        halves = [apart.join(of.withColumnRenamed("x", s), s).filter(F.col("far") + F.col(f"r_{o}") >= F.col("d") - edge).select(F.least("y", o).alias("a"), F.greatest("y", o).alias("b")) for s, o in (("a", "b"), ("b", "a"))]
-        half = self.compare(checkpointed(halves[0].unionByName(halves[1]).distinct()))
-        found = half.filter(_LINKED).select("a", "b")
-        apart = self._apart(apart, links.unionByName(found))
+            return found
+        of = follows.select(F.col("anchor").alias("key"), F.col("cid"))
+        # followers of one side and the other anchor
+        both = apart.select(F.col("a").alias("key"), F.col("b").alias("cid"), "r_a", "r_b").unionByName(apart.select(F.col("b").alias("key"), F.col("a").alias("cid"), F.col("r_b").alias("r_a"), F.col("r_a").alias("r_b")))
+        found = self._confront(of, both.filter("r_a > 0").select("key", "cid"))
+        apart = self._apart(apart.filter("r_a > 0 AND r_b > 0"), links.unionByName(found))
         if apart.isEmpty():
             return found
-        # followers against followers, where their distances to both anchors leave room
-        measured = half.select("a", "b", (1 - F.col("inter") / F.col("uni")).alias("to"))
-        to = measured.unionByName(measured.select(F.col("b").alias("a"), F.col("a").alias("b"), "to"))
-        left = of.select(F.col("x").alias("a"), F.col("y").alias("ya"), F.col("far").alias("fa"))
-        right = of.select(F.col("x").alias("b"), F.col("y").alias("yb"), F.col("far").alias("fb"))
-        one = apart.join(left, "a").join(to.select(F.col("a").alias("ya"), F.col("b"), F.col("to").alias("ta")), ["ya", "b"]).filter(F.col("ta") <= edge + F.col("r_b"))
-        two = right.join(to.select(F.col("a").alias("yb"), F.col("b").alias("a"), F.col("to").alias("tb")), "yb")
-        rest = one.join(two, ["a", "b"]).filter((F.abs(F.col("ta") - F.col("fb")) <= edge) & (F.abs(F.col("tb") - F.col("fa")) <= edge))
-        pairs = rest.select(F.least("ya", "yb").alias("a"), F.greatest("ya", "yb").alias("b")).distinct().withColumn("reach", F.lit(1 - PERCENT / 100))
-        return found.unionByName(self.compare(self.bounded(pairs)).filter(_LINKED).select("a", "b"))
+        # followers and followers
+        pair = apart.select(F.xxhash64("a", "b").alias("pair"), "a", "b")
+        left = pair.join(of, F.col("a") == F.col("key")).select(F.col("pair").alias("key"), "cid")
+        right = pair.join(of, F.col("b") == F.col("key")).select(F.col("pair").alias("key"), "cid")
+        return found.unionByName(self._confront(left, right))
+
+    def _confront(self, left: DataFrame, right: DataFrame) -> DataFrame:
+        """Links (a, b) between the left and right classes (key, cid) of each key. The classes of a key are cut into
+        blocks; a task bounds the pairs of two blocks in memory and only returns those that may be linked."""
+        sketch = self.classes.select("cid", "n", "bitmap")
+        sizes = lambda df, name: df.groupBy("key").agg(F.ceil(F.count("*") / CONFRONT_ROWS).cast("int").alias(name))
+        blocks = checkpointed(sizes(left, "ni").join(sizes(right, "nj"), "key"))
+        hashed = F.xxhash64("cid")
+        rows = lambda df, side, i, j: df.join(blocks, "key").join(sketch, "cid").select("key", i.alias("i"), j.alias("j"), F.lit(side).alias("side"), "cid", "n", "bitmap", F.lit(EDGE).alias("reach"))
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        dealt = rows(left, 0, F.pmod(hashed, F.col("ni")).cast("int"), every("nj")).unionByName(rows(right, 1, every("ni"), F.pmod(hashed, F.col("nj")).cast("int")))
+        near = checkpointed(dealt.groupBy("key", "i", "j").applyInArrow(_confronted, "a bigint, b bigint, low double").select("a", "b").distinct())
+        return self.compare(near).filter(_LINKED).select("a", "b")
 
     def _apart(self, pairs: DataFrame, links: DataFrame) -> DataFrame:
         """Pairs whose anchors are not in one component yet."""

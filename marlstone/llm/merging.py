@@ -182,13 +182,13 @@ def ragged_index(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 PART_BYTES = 16_000_000
 
 
-def parts(texts: pa.Array):
-    """Slices of a string array of about PART_BYTES each, one text at least; nulls become empty texts."""
+def parts(texts: pa.Array, size: int = PART_BYTES):
+    """Slices of a string array of about ``size`` bytes each, one text at least; nulls become empty texts."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     begin = 0
     while begin < len(texts):
-        end = max(begin + 1, int(np.searchsorted(sizes, (sizes[begin - 1] if begin else 0) + PART_BYTES, "right")))
+        end = max(begin + 1, int(np.searchsorted(sizes, (sizes[begin - 1] if begin else 0) + size, "right")))
         yield begin, texts.slice(begin, end - begin)
         begin = end
 
