@@ -68,16 +68,12 @@ def features(texts: pa.Array):
         yield begin, len(part), keys // BUCKETS, keys % BUCKETS
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, cost: float = 1.0, epochs: int = 10, seed: int = 7) -> dict:
-    """Log-count ratios, hinge-loss weights and the logistic curve from the indicators of each row."""
-    n_good, n_bad = int((labels == 1).sum()), int((labels != 1).sum())
-    prior = (n_good + 1) / (n_good + n_bad + 2)
-    if not n_good or not n_bad:
-        return {"weight": np.zeros(BUCKETS), "square": np.zeros(BUCKETS), "bias": 0.0, "slope": 0.0, "shift": float(np.log(prior / (1 - prior)))}
+def _descend(rows: list[np.ndarray], labels: np.ndarray, cost: float, epochs: int, seed: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """Log-count ratios, hinge-loss weights over the scaled unit vectors, and the intercept."""
     good, bad = np.ones(BUCKETS), np.ones(BUCKETS)
     for x, y in zip(rows, labels):
         (good if y == 1 else bad)[x] += 1
-    ratio = np.log(good / (n_good + 2)) - np.log(bad / (n_bad + 2))
+    ratio = np.log(good / ((labels == 1).sum() + 2)) - np.log(bad / ((labels != 1).sum() + 2))
     scaled = [ratio[x] / max(1e-9, np.sqrt((ratio[x] ** 2).sum())) for x in rows]
     w, bias, alpha = np.zeros(BUCKETS), 0.0, np.zeros(len(rows))
     sign = np.where(labels == 1, 1.0, -1.0)
@@ -92,7 +88,31 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, cost: float = 1.0, epochs: i
                 w[x] += d * v
                 bias += d
                 alpha[i] = new
-    margin = np.array([w[x] @ v + bias for x, v in zip(rows, scaled)])
+    return ratio, w, bias
+
+
+def _margins(rows: list[np.ndarray], ratio: np.ndarray, w: np.ndarray, bias: float) -> np.ndarray:
+    return np.array([w[x] @ ratio[x] / max(1e-9, np.sqrt((ratio[x] ** 2).sum())) + bias for x in rows])
+
+
+def fit(rows: list[np.ndarray], labels: np.ndarray, cost: float = 1.0, epochs: int = 10, seed: int = 7, folds: int = 4) -> dict:
+    """Log-count ratios, hinge-loss weights and the logistic curve from the indicators of each row. The curve is fitted
+    on margins of rows that their own model has not seen."""
+    n_good, n_bad = int((labels == 1).sum()), int((labels != 1).sum())
+    prior = (n_good + 1) / (n_good + n_bad + 2)
+    if not n_good or not n_bad:
+        return {"weight": np.zeros(BUCKETS), "square": np.zeros(BUCKETS), "bias": 0.0, "slope": 0.0, "shift": float(np.log(prior / (1 - prior)))}
+    ratio, w, bias = _descend(rows, labels, cost, epochs, seed)
+    margin, part = np.zeros(len(rows)), np.zeros(len(rows), np.int64)
+    for label in (0, 1):  # each fold has its share of both classes
+        at = np.flatnonzero((labels == 1) == label)
+        part[at] = np.arange(len(at)) % folds
+    for k in range(folds):
+        out, rest = np.flatnonzero(part == k), np.flatnonzero(part != k)
+        if len(out) and 0 < (labels[rest] == 1).sum() < len(rest):
+            margin[out] = _margins([rows[i] for i in out], *_descend([rows[i] for i in rest], labels[rest], cost, epochs, seed))
+        elif len(out):
+            margin[out] = _margins([rows[i] for i in out], ratio, w, bias)
     target = np.where(labels == 1, (n_good + 1) / (n_good + 2), 1 / (n_bad + 2))
     a, b = 4.0, 0.0
     for _ in range(50):  # Newton steps of the logistic fit, lightly held to where they start
