@@ -1,7 +1,10 @@
 """Licence scans: sparse TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
 Every line of a file is a sparse vector of its words' counts times their inverse
-document frequency, which is counted over the lines of all files. A line is a
+document frequency. The frequencies of all words are counted over the lines of all
+files, so those of a line's words do not depend on the number of files of like
+content. What a line shares with the templates is known from their words alone; the
+weights of its other words are joined to the few lines that can reach SIMILAR. A line is a
 statement of the template that it is nearest to, if the cosine is SIMILAR or more. A
 file states the licence of its best line; ties go to the template listed first. A
 licence file, by its name or because most of its words are in statements, also
@@ -63,29 +66,35 @@ def words_of(line: str) -> list[str]:
 
 
 VOCABULARY = sorted({w for _, t in TEMPLATES for w in words_of(t)})
-#: A statement has a word of its own; lines without any of these are no candidates.
-_PLACE = {w: i for i, w in enumerate(VOCABULARY)}
+#: Distinct words that a task counts before it hands the counts on.
+FLUSH = 200_000
 
 
 def _counted(batches):
-    """Lines in all and lines with each vocabulary word, a few hundred rows from each task."""
-    lines, times = 0, np.zeros(len(VOCABULARY), np.int64)
+    """(word, lines with it) of all words, added up within a task; the empty word stands for the lines in all."""
+    times: Counter[str] = Counter()
+
+    def rows():
+        return pa.RecordBatch.from_arrays([pa.array(times.keys(), pa.string()), pa.array(times.values(), pa.int64())], names=["word", "times"])
+
     for batch in batches:
         for text in batch.column(0).to_pylist():
             for line in (text or "").split("\n"):
                 words = set(words_of(line))
                 if words:
-                    lines += 1
-                    for w in words & _PLACE.keys():
-                        times[_PLACE[w]] += 1
-    yield pa.RecordBatch.from_arrays([pa.array(["", *VOCABULARY]), pa.array([lines, *times.tolist()], pa.int64())], names=["word", "times"])
+                    times[""] += 1
+                    times.update(words)
+            if len(times) > FLUSH:
+                yield rows()
+                times.clear()
+    yield rows()
 
 
 class Templates:
     """Unit TF-IDF vectors of the templates, by word."""
 
     def __init__(self, lines: int, times: dict[str, int]):
-        self.rare = float(np.log((lines + 1) / 1) + 1)  # words in no template count as unseen ones
+        self.rare = float(np.log((lines + 1) / 1) + 1)  # the weight of an unseen word
         self.idf = {w: float(np.log((lines + 1) / (times.get(w, 0) + 1)) + 1) for w in VOCABULARY}
         self.by_word: dict[str, list[tuple[int, float]]] = {}
         for i, (_, text) in enumerate(TEMPLATES):
@@ -94,61 +103,78 @@ class Templates:
             for w, x in weights.items():
                 self.by_word.setdefault(w, []).append((i, x / norm))
 
-    def best(self, words: list[str]) -> tuple[float, int]:
-        """(cosine, template) of the nearest template; only templates that share a word are touched."""
-        counts = Counter(words)
+    def square(self, counts: Counter[str]) -> float:
+        """Square of the part of a line that is in template words."""
+        return sum((counts[w] * self.idf[w]) ** 2 for w in sorted(counts.keys() & self.idf.keys()))
+
+    def nearest(self, counts: Counter[str]) -> tuple[float, int]:
+        """(dot product, template) of the nearest template; only templates that share a word are touched."""
         dots: dict[int, float] = {}
-        square = 0.0
         for w, n in counts.items():
-            x = n * self.idf.get(w, self.rare)
-            square += x * x
             for i, y in self.by_word.get(w, ()):
-                dots[i] = dots.get(i, 0.0) + x * y
+                dots[i] = dots.get(i, 0.0) + n * self.idf[w] * y
         if not dots:
             return 0.0, -1
         i = min(dots, key=lambda i: (-round(dots[i], 12), i))
-        return min(1.0, dots[i] / square**0.5), i
+        return dots[i], i
+
+    def best(self, words: list[str]) -> tuple[float, int]:
+        """(cosine, template) of the nearest template for a line whose other words are all unseen ones."""
+        counts = Counter(words)
+        dot, i = self.nearest(counts)
+        others = sum((n * self.rare) ** 2 for w, n in counts.items() if w not in self.idf)
+        return (min(1.0, dot / (self.square(counts) + others) ** 0.5), i) if dot else (0.0, -1)
 
 
-def statements(text: str | None, templates: Templates) -> tuple[list[tuple[int, float, str]], float]:
-    """((line number, score, licence) of every statement, share of the words in statements)."""
-    found, inside, total = [], 0, 0
+def candidates(text: str | None, templates: Templates) -> tuple[int, list[dict]]:
+    """(words in all, lines that are statements unless their other words weigh too much). No word weighs less than 1, so no statement is left out."""
+    found, total = [], 0
     for k, line in enumerate((text or "").split("\n")):
         words = words_of(line)
         total += len(words)
-        # a line of few template words among many others cannot be near: skip it before weighing
-        known = sum(w in _PLACE for w in words)
-        if known * 3 < len(words) or not known:
+        if templates.idf.keys().isdisjoint(words):
             continue
-        score, i = templates.best(words)
-        if score >= SIMILAR:
-            found.append((k, score, TEMPLATES[i][0]))
-            inside += len(words)
-    return found, inside / total if total else 0.0
+        counts = Counter(words)
+        square = templates.square(counts)
+        others = {w: n for w, n in counts.items() if w not in templates.idf}
+        least = (square + sum(n * n for n in others.values())) ** 0.5 * SIMILAR * (1 - 1e-9)
+        if square**0.5 < least:
+            continue
+        dot, i = templates.nearest(counts)
+        if dot >= least:
+            found.append({"line": k, "words": len(words), "dot": dot, "square": square, "license": TEMPLATES[i][0], "others": [{"word": w, "n": n} for w, n in others.items()]})
+    return total, found
 
 
 def scan_licenses(files: DataFrame, key_cols: list[str], path_col: str = "path", text_col: str = "text") -> DataFrame:
     """(key columns, path, license, score, origin: header, file, inherited or null, n_statements) of every row."""
     ship(files.sparkSession)
-    counted = files.select(F.col(text_col).cast("string")).mapInArrow(_counted, "word string, times bigint").groupBy("word").agg(F.sum("times").alias("times")).collect()  # a row for each vocabulary word
-    times = {r.word: r.times for r in counted}
-    templates = Templates(times.pop("", 0), times)
+    counted = checkpointed(files.select(F.col(text_col).cast("string")).mapInArrow(_counted, "word string, times bigint").groupBy("word").agg(F.sum("times").alias("times")))
+    times = {r.word: r.times for r in counted.filter(F.col("word").isin("", *VOCABULARY)).collect()}  # a row for each template word
+    n_lines = times.pop("", 0)
+    templates = Templates(n_lines, times)
     n = len(key_cols)
+    line_type = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64()), ("dot", pa.float64()), ("square", pa.float64()), ("license", pa.string()), ("others", pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())])))]))
 
     def scan(batches):
         for batch in batches:
-            rows = []
-            for text in batch.column(n + 1).to_pylist():
-                found, share = statements(text, templates)
-                best = max(found, key=lambda x: (x[1], -x[0]), default=None)
-                rows.append((best and best[2], best and best[1], share >= LICENCE_SHARE, len(found)))
-            license_, score, whole, count = zip(*rows) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([*batch.columns[: n + 1], pa.array(license_, pa.string()), pa.array(score, pa.float64()), pa.array(whole, pa.bool_()), pa.array(count, pa.int64())], names=[*names, "license", "score", "whole", "n_statements"])
-
-    names = [*(f"k{i}" for i in range(n)), "path"]
-    picked = files.select(*(F.col(c).alias(f"k{i}") for i, c in enumerate(key_cols)), F.col(path_col).alias("path"), F.col(text_col).cast("string").alias("text"))
+            got = [candidates(text, templates) for text in batch.column(n + 2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: n + 2], pa.array([x[0] for x in got], pa.int64()), pa.array([x[1] for x in got], line_type)], names=[*names, "total", "lines"])
+
+    names = [*(f"k{i}" for i in range(n)), "path", "row"]
+    picked = files.select(*(F.col(c).alias(f"k{i}") for i, c in enumerate(key_cols)), F.col(path_col).alias("path"), F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"))
     kinds = ", ".join(f"k{i} {files.schema[c].dataType.simpleString()}" for i, c in enumerate(key_cols))
-    own = checkpointed(picked.mapInArrow(scan, f"{kinds}, path string, license string, score double, whole boolean, n_statements bigint"))
+    line_kind = "array<struct<line:bigint,words:bigint,dot:double,square:double,license:string,others:array<struct<word:string,n:bigint>>>>"
+    scanned = checkpointed(picked.mapInArrow(scan, f"{kinds}, path string, row bigint, total bigint, lines {line_kind}"))
+
+    near = scanned.select("row", F.explode("lines").alias("x")).select("row", "x.*")
+    weight = F.col("o.n") * (F.log(F.lit(n_lines + 1.0) / (F.col("times") + 1)) + 1)
+    weighed = near.select("row", "line", F.explode("others").alias("o")).join(counted, F.col("o.word") == F.col("word")).groupBy("row", "line").agg(F.sort_array(F.collect_list(weight * weight)).alias("parts"))  # in order, so that sums are the same in every run
+    other = F.coalesce(F.aggregate("parts", F.lit(0.0), lambda x, y: x + y), F.lit(0.0))
+    stated = near.join(weighed, ["row", "line"], "left").withColumn("score", F.least(F.lit(1.0), F.col("dot") / F.sqrt(F.col("square") + other))).filter(F.col("score") >= SIMILAR)
+    best = stated.groupBy("row").agg(F.max(F.struct("score", (-F.col("line")).alias("l"), "license")).alias("x"), F.sum("words").alias("inside"), F.count("*").alias("n"))
+    whole = F.coalesce(F.col("inside") >= LICENCE_SHARE * F.col("total"), F.lit(False))
+    own = checkpointed(scanned.drop("lines").join(best, "row", "left").select(*names[:-1], "x.license", "x.score", whole.alias("whole"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n_statements")))
 
     is_file = F.coalesce(F.col("path").rlike(FILE_NAME) | F.col("whole"), F.col("whole"))
     folder = F.regexp_replace("path", r"/?[^/]*$", "")

@@ -229,6 +229,22 @@ def test_licence_cosine_is_the_dense_one():
     assert best == int(np.argmax(cosine)) and abs(score - max(cosine)) < 1e-9
 
 
+@pytest.mark.parametrize("copies", [1, 100])
+def test_licence_weights_count_all_words_at_every_size(spark, copies):
+    line = "Released under the MIT License; see each file for more details."
+    # every word has the same share of the lines at both sizes
+    rows = [(0, "a/0", line)] * copies + [(k, f"f{k}/x", "see each file for more details and so on\nother things") for k in range(1, 200 * copies)]
+    df = spark.createDataFrame(rows, "doc_id bigint, path string, text string")
+    got = licenses.scan_licenses(df, ["doc_id"]).filter("doc_id = 0").distinct().collect()
+    assert [(r.license, r.n_statements) for r in got] == [("MIT", 1)]
+    ls = [licenses.words_of(x) for _, _, text in rows for x in text.split("\n")]
+    df_of = collections.Counter(w for words in ls for w in set(words))
+    weigh = lambda ws: {w: ws.count(w) * (np.log((len(ls) + 1) / (df_of[w] + 1)) + 1) for w in ws}
+    norm = lambda v: sum(x * x for x in v.values()) ** 0.5
+    a, b = weigh(licenses.words_of(line)), weigh(licenses.words_of("Released under the MIT License."))
+    assert abs(got[0].score - sum(x * b.get(w, 0) for w, x in a.items()) / norm(a) / norm(b)) < 1e-9
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
