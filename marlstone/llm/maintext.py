@@ -5,8 +5,9 @@ Markup is stripped into text blocks; parts of the page that are never article te
 The text lengths are summed over a sliding window of WINDOW lines: where the sum
 leaves zero is a surge point, where it falls back to zero a dive point, and the
 blocks between them form a segment. On a page that marks its article or main
-element, all segments inside it are kept; on others those that hold a fair share
-of the largest segment's text.
+element, all segments inside it are kept; on others those with a line of text that
+is not all but links, whatever the size of the page and of its other segments. A form
+that holds an article or most of the page's text is read as any other part.
 
 Defined results: a null or empty page, or one without article text, gives the
 empty string; pages of any length are read whole; repeated rows give the same text
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from .shipping import ship
 
 WINDOW = 3
-#: On pages without a marked article: share of the largest segment's length that a segment must reach.
-FAIR_SHARE = 0.1
+#: On pages without a marked article: share of a line's text that must be outside links for its segment to be text.
+UNLINKED = 0.25
 #: Elements whose text is not read at all, elements of the page's frame, elements that start a block, empty elements.
 RAW = frozenset("script style title textarea noscript template svg iframe noembed noframes xmp math".split())
 FRAME = frozenset("head nav header footer aside menu form button select option dialog fieldset object embed canvas audio video map applet datalist".split())
@@ -71,6 +72,12 @@ def _role(name: str, attributes: str) -> str:
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """(text, length outside links, inside the article) of every line; parts beside the article are WINDOW empty lines."""
+    lines, forms = _walk(page, frozenset())
+    return _walk(page, forms)[0] if forms else lines
+
+
+def _walk(page: str, clear: frozenset[int]) -> tuple[list[tuple[str, int, bool]], frozenset[int]]:
+    """(lines, starts of the outermost forms that hold an article or most text); the forms that start at ``clear`` hide nothing."""
     out: list[tuple[str, int, bool]] = []
     gap = [("", 0, False)] * WINDOW
     stack: list[tuple[str, str]] = []  # name, role
@@ -78,6 +85,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     text: list[str] = []
     weight = 0
     seen_article = False
+    form_at, forms, in_forms = -1, 0, 0  # start of the outermost open form, open forms, those of them that hide
+    held: dict[int, list] = {}  # by outermost form: whether it holds an article, characters
+    total = 0
 
     def flush():
         nonlocal weight
@@ -89,10 +99,14 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         weight = 0
 
     def leave(count: int):
-        nonlocal beside, inside, links
+        nonlocal beside, inside, links, forms, in_forms, form_at
         for _ in range(count):
             name, role = stack.pop()
             links -= name == "a"
+            if name == "form":
+                forms -= 1
+                in_forms -= role == "beside"
+                form_at = form_at if forms else -1
             if role:
                 flush()
                 beside -= role == "beside"
@@ -108,6 +122,11 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if name is None:
             if page.startswith("<!", m.start()) or page.startswith("<?", m.start()):
                 continue
+            if beside == in_forms:  # nothing but forms hides this
+                n = len(m[0].strip())
+                total += n
+                if form_at in held:
+                    held[form_at][1] += n
             if not beside:
                 plain = m[0] if "&" not in m[0] else html_lib.unescape(m[0])
                 text.append(plain)
@@ -127,19 +146,28 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 # an unclosed raw element swallows the rest of its page, as in browsers; a title only its line
                 at = end.end() if end else (size if name != "title" else at)
             continue
-        role = _role(name, attributes)
+        role = _role("div" if name == "form" and m.start() in clear else name, attributes)
         if name in BLOCK:
             flush()
         if name in VOID:
             continue
         if name == "body":  # an unclosed head ends here
             leave(next((len(stack) - k for k, x in enumerate(stack) if x[0] == "head"), 0))
-        if role == "article" and beside and not seen_article and all(x[0] not in FRAME for x in stack):
+        if role == "article" and beside and not seen_article and all(x[0] not in FRAME or x[1] != "beside" for x in stack):
             leave(len(stack) - next(k for k, x in enumerate(stack) if x[1] == "beside"))  # what hides the only article was left open
         if name in ("p", "li", "dt", "dd", "option", "tr", "td", "th") and stack and stack[-1][0] == name:
             leave(1)  # these end where the next one begins
         if name in ("p", "b", "i", "em", "strong", "span", "u", "font", "small") and not role and not beside:
             continue  # their end tags change nothing
+        if role == "article" and beside == in_forms and form_at in held:
+            held[form_at][0] = True
+        if name == "form":
+            if not forms:
+                form_at = m.start()
+                if _role("div", attributes) != "beside":
+                    held[form_at] = [False, 0]
+            forms += 1
+            in_forms += role == "beside"
         stack.append((name, role))
         links += name == "a"
         if role:
@@ -151,7 +179,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 inside += 1
                 seen_article |= not beside
     flush()
-    return out
+    return out, frozenset(at for at, (article, n) in held.items() if article or n * 2 > total)
 
 
 def segments(lines: list[tuple[str, int, bool]]) -> list[tuple[int, int]]:
@@ -180,8 +208,9 @@ def main_text(page: str | None) -> str:
     if any(x[2] and x[0] for x in lines):
         kept = [(a, b) for a, b in found if any(x[2] for x in lines[a:b])]
     else:
-        mass = [sum(x[1] for x in lines[a:b]) for a, b in found]
-        kept = [ab for ab, w in zip(found, mass) if w > 0 and w >= FAIR_SHARE * max(mass)]
+        kept = [(a, b) for a, b in found if any(x[1] and x[1] >= UNLINKED * len(x[0]) for x in lines[a:b])]
+        if not kept:  # links are nearly all there is
+            kept = [(a, b) for a, b in found if any(x[1] for x in lines[a:b])]
     return "\n".join(x[0] for a, b in kept for x in lines[a:b] if x[0])
 
 

@@ -119,6 +119,27 @@ def test_main_text(html, want):
     assert maintext.main_text(html) == want
 
 
+@pytest.mark.parametrize("n", [10, 5000])
+def test_short_segments_stay_on_unmarked_pages_of_any_length(n):
+    menu = "<div><a href='/'>Home page</a> | <a href='/a'>About us</a></div>"
+    body = f"<div class='post'><p>{'ten chars ' * n}</p><div class='ad'>buy</div><p>The closing words.</p></div><div class='ad'>buy</div>{menu}"
+    assert maintext.main_text(page(body)) == ("ten chars " * n).strip() + "\nThe closing words."
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        (page("<form id='aspnetForm'><nav>menu</nav><article><p>Kept</p></article><select><option>o</select></form>"), "Kept"),
+        (page("<form method='post'><div><p>All of the text</p><button>go</button></div></form><p>x</p>"), "All of the text\nx"),
+        (page("<p>Some text of the page</p><form><p>Your name</p></form>"), "Some text of the page"),
+        (page("<p>Text</p><form class='newsletter-form'><p>Subscribe to all of our letters</p></form>"), "Text"),
+        (page("<article><p>Text of the article</p><form>Reply</form></article>"), "Text of the article"),
+    ],
+)
+def test_forms_around_the_text_are_read(html, want):
+    assert maintext.main_text(html) == want
+
+
 def test_main_text_of_a_frame(spark):
     df = spark.createDataFrame([(1, "u", page("<article><p>é 😀</p></article>"), "clash"), (2, None, None, None)], "page_id bigint, url string, html string, text string")
     got = {r.page_id: (r.url, r.text, r.n_chars) for r in maintext.extract_main_text(df).collect()}
