@@ -4,7 +4,8 @@ Three base patterns give spans (assignments, access keys, hex runs). Beyond them
 runs that may be base64 or hex are decoded, and a span is added only if what comes
 out parses: a DER private or public key whose nested lengths fit, an OpenSSH key
 blob whose length fields fit, armoured key blocks, or a signed token whose header
-and payload are JSON objects with an algorithm.
+and payload are JSON objects with an algorithm. Runs may be wrapped over lines, and
+line breaks may be written as escapes.
 
 Defined results: a null or empty text has no spans; texts of any length are
 scanned whole; a repeated row has its spans again; overlapping spans of different
@@ -35,7 +36,14 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 ARMOUR = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*(?:PRIVATE|PUBLIC) KEY)-----([^-]*)-----END \1-----")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
-TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_.-])")
+TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])(?!\.[A-Za-z0-9_-])")
+#: A line break as an escape, of a string once or several times quoted.
+ESCAPED = re.compile(r"\\+[nr]")
+#: The first line of a wrapped run of base64 or hex that may be a key, and each line after it.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-P]|AAAA|b3Bl)[A-Za-z0-9+/_-]{6,}(?=[ \t]*[\r\n])")
+NEXT = re.compile(r"[ \t]*[\r\n]\s*([A-Za-z0-9+/_-]+)(={0,2})")
+HEX_WRAPPED = re.compile(r"(?<![0-9A-Fa-f])(?:30|000000|6[fF]70656[eE])[0-9A-Fa-f]{12,}(?=[ \t]*[\r\n])")
+HEX_NEXT = re.compile(r"[ \t]*[\r\n]\s*([0-9A-Fa-f]+)(?![0-9A-Za-z])()")
 
 
 def _decoded(run: str) -> bytes | None:
@@ -150,8 +158,69 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+#: Fields of public keys by the start of their name; of others two are awaited.
+SSH_FIELDS = ((b"ssh-rsa", 3), (b"ssh-dss", 5), (b"ecdsa-sha2-", 3), (b"sk-ssh-", 3), (b"sk-ecdsa-", 4))
+
+
+def _key_size(data: bytes) -> int:
+    """Least length of the key that ``data`` begins, as far as it tells; 0 if it begins none."""
+    if data[:1] == b"\x30" and len(data) > 5:
+        n = data[1] & 0x7F
+        if data[1] < 0x80:
+            return 2 + n
+        return 2 + n + int.from_bytes(data[2 : 2 + n], "big") if 1 <= n <= 4 else 0
+    private = data[:6] == b"openss"
+    if not private and not (data[:3] == b"\0\0\0" and data[4:6] in (b"ss", b"ec", b"sk")):
+        return 0
+    at, k, fields = (15, 0, 4) if private else (0, 0, 2)
+    while k < fields:
+        if at + 4 > len(data):
+            return at + 4
+        size = int.from_bytes(data[at : at + 4], "big")
+        if private and k == 3:  # the number of keys, then each public one and the private ones
+            fields, size = 5 + size, 0
+            if not 5 < fields <= 21:
+                return 0
+        at, k = at + 4 + size, k + 1
+        if at > len(data):
+            return at
+        if k == 1 and not private:
+            fields = next((n for name, n in SSH_FIELDS if data[4:at].startswith(name)), 2)
+    return at
+
+
+def _unwrapped(lines: list[str], hexed: bool) -> bytes:
+    """Bytes of all lines, without what is left of an unfinished one."""
+    run = "".join(lines)
+    return bytes.fromhex(run[: len(run) // 2 * 2]) if hexed else _decoded(run[: len(run) - (len(run) % 4 == 1)]) or b""
+
+
+def _wrapped_spans(text: str, first: re.Pattern, following: re.Pattern, hexed: bool) -> list[tuple[str, int, int]]:
+    """Keys over two or more lines, which end where their own lengths say."""
+    out = []
+    at, bits = 0, 4 if hexed else 6
+    while m := first.search(text, at):
+        at, end, lines, size, more = m.end(), m.end(), [m[0]], len(m[0]), True
+        while more:  # read up to the least length, which then may turn out greater
+            data = _unwrapped(lines, hexed)
+            need = -(-8 * _key_size(data) // bits)
+            more = size < need <= len(text) - m.start()
+            while size < need and more:
+                line = following.match(text, end)
+                if more := line is not None:
+                    lines.append(line[1])
+                    size, end = size + len(line[1]), line.end()
+                    more = not line[2] or size >= need  # nothing follows the padding
+        if size == need and len(lines) > 1 and (is_der_key(data) or is_ssh_key(data)):
+            out.append(("der_key" if data[0] == 0x30 else "ssh_key", m.start(), end))
+            at = end
+    return out
+
+
 def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     out = []
+    if "\\" in text:  # breaks as long as their escapes, so that places stay
+        text = ESCAPED.sub(lambda m: "\n".rjust(len(m[0])), text)
     if "-----BEGIN " in text:
         for m in ARMOUR.finditer(text):
             body = "".join(line for line in m[2].splitlines() if ":" not in line)
@@ -170,7 +239,10 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
             out.append(("der_key", *m.span()))
         elif is_ssh_key(data):
             out.append(("ssh_key", *m.span()))
-    if "." in text and "ey" in text:
+    if "\n" in text or "\r" in text:
+        out += _wrapped_spans(text, WRAPPED, NEXT, False)
+        out += _wrapped_spans(text, HEX_WRAPPED, HEX_NEXT, True)
+    if "." in text:
         out += [("signed_token", *m.span()) for m in TOKEN.finditer(text) if _is_token(m[1], m[2])]
     return out
 

@@ -168,6 +168,35 @@ def test_confirmed_secrets(inside, kind):
     assert [text[a:b].rstrip() for _, a, b in found] == [inside]
 
 
+PRIVATE = b"openssh-key-v1\0" + b"".join(len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"")) + (1).to_bytes(4, "big") + b"".join(len(x).to_bytes(4, "big") + x for x in (SSH, b"p" * 200))
+WRAP = lambda run, n, by="\n": by.join(run[k : k + n] for k in range(0, len(run), n))
+TOKEN = f"{URL({'alg': 'HS256'})}.{URL({'sub': 'x'})}.c2ln"
+PRETTY = base64.urlsafe_b64encode(b'{\n  "alg": "HS256"\n}').decode().rstrip("=") + f".{base64.urlsafe_b64encode(b'{ }').decode()}.c2ln"
+
+
+@pytest.mark.parametrize(
+    ("before", "inside", "after", "kind"),
+    [
+        ("see ", TOKEN, ".", "signed_token"),
+        ("see ", TOKEN, "... and so on", "signed_token"),
+        ("see ", PRETTY, " now", "signed_token"),
+        *((before, WRAP(f(RSA), n, by), after, "der_key") for f in (B64, bytes.hex) for n in (64, 76) for before, by, after in (("x: ", "\n", "\nThe end"), ("", "\r\n    ", "\r\n\r\nabc def"), ('"\\n', "\\n", '\\n"'), ('"\\\\n', "\\\\n", '"'))),
+        *(("é x ", WRAP(f(SSH), n), "\nnext line", "ssh_key") for f in (B64, bytes.hex) for n in (24, 36, 64)),
+        ("", WRAP(B64(PRIVATE), 70), "\nAAAA\nnext", "ssh_key"),
+        ('{"key": "', f"-----BEGIN RSA PRIVATE KEY-----\\n{WRAP(B64(RSA), 64, chr(92) + 'n')}\\n-----END RSA PRIVATE KEY-----", '\\n"}', "armour"),
+    ],
+)
+def test_wrapped_escaped_and_final_secrets(before, inside, after, kind):
+    text = before + inside + after
+    found = [(a, b) for k, a, b in secrets.confirmed_spans(text) if k == kind]
+    assert found == [(len(before), len(before) + len(inside))]
+
+
+@pytest.mark.parametrize("text", [TOKEN + ".more", "x." + TOKEN, WRAP(B64(RSA[:-3]), 64), WRAP(B64(RSA + b"x" * 9), 64), WRAP(B64(b"\x30\x82\x01\x01" + b"x" * 257), 64), WRAP(RSA.hex()[:-64], 64), "MANAGEMENT\nof words\nAAAAAAAAAA\nthe"])
+def test_wrapped_runs_that_do_not_parse_are_not_reported(text):
+    assert secrets.confirmed_spans(text) == []
+
+
 @pytest.mark.parametrize("text", [B64(RSA[:-3]), B64(b"\x30\x82\x01\x01" + b"x" * 80), B64(b"q" * 90), f"{URL({'typ': 'x'})}.{URL({'sub': 'x'})}.c2ln", "ab" * 40])
 def test_unconfirmed_structures_are_not_reported(text):
     assert secrets.confirmed_spans(text) == []
