@@ -1,9 +1,9 @@
 """Exact Jaccard self-join of word-shingle sets, as links between class representatives and connected components.
 
 Set-relation skipping. Documents with equal sets form a class; one set stands for
-it. Index lists are blocked by position: only the leading block of a set, its
-rarest shingles in one global order, is ever listed, and two linked sets always meet
-in it, several times if they are large; the rest of every list is skipped. Answers are derived from a
+it. Only the leading block of a set, its rarest shingles in one global order, is ever
+listed, and two linked sets always meet in it, several times if they are large. The
+lists themselves are not blocked by position: all their pairs are met. Answers are derived from a
 highly similar set: sets that are linked to an anchor set by a computed answer
 are listed under the anchor, and the distance between two anchors, with the
 triangle inequality of the Jaccard distance, settles most pairs of their followers
