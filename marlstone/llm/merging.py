@@ -10,6 +10,7 @@ pair at a time: a pair that may create a pair of equal or lower rank is marked
 
 from __future__ import annotations
 
+import ctypes
 import heapq
 
 import numpy as np
@@ -19,6 +20,7 @@ import pyarrow.compute as pc
 NO_RANK = np.int32(2**31 - 1)
 #: Words with more symbols than this take the one-at-a-time heap, whose cost does not grow with the square of the length.
 LONG_WORD = 4096
+_LIBC = ctypes.CDLL(None)
 
 
 class PairTable:
@@ -179,7 +181,14 @@ def ragged_index(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 #: Bytes of text that are cut into words at a time.
-PART_BYTES = 16_000_000
+PART_BYTES = 4_000_000
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: workers are used again, by tasks of other stages too."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
 
 
 def parts(texts: pa.Array, size: int = PART_BYTES):
@@ -191,6 +200,7 @@ def parts(texts: pa.Array, size: int = PART_BYTES):
         end = max(begin + 1, int(np.searchsorted(sizes, (sizes[begin - 1] if begin else 0) + size, "right")))
         yield begin, texts.slice(begin, end - begin)
         begin = end
+    give_back()
 
 
 def space_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -16,6 +17,8 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":  # made for numbers; texts are longer
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     package = Path(__file__).resolve().parents[1]
     target = Path(tempfile.mkdtemp()) / f"{package.name}_sources.zip"
     with zipfile.ZipFile(target, "w") as z:
@@ -26,10 +29,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder that the session names; one of our own only where it names none, as in tests."""
+    """The checkpoint folder that the session names. Only where all tasks run in this process, as in tests, may it name none."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
     return context.getCheckpointDir()
 
 
@@ -37,3 +43,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` as files in the shared checkpoint folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+#: Rows of (a, b) or the like that a task takes where tables are small.
+SMALL_ROWS = 50_000
+
+
+def tasks_for(rows: int) -> int:
+    return rows // SMALL_ROWS + 1
+
+
+def compact(df: DataFrame) -> DataFrame:
+    """``checkpointed``, read again by tasks in proportion to its rows, so that steps over few rows leave few files."""
+    out = checkpointed(df)
+    return out.coalesce(tasks_for(out.count()))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

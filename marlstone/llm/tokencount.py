@@ -29,7 +29,7 @@ WHITE = "\t-\r \x85\xa0  -     　"
 SPLIT = rf"'(?:s|t|re|ve|m|ll|d)| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 _WHITE_CHARS = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{WHITE}]", c))
 #: Distinct pre-tokens kept with their counts in one Python worker, at most.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 500_000
 _MEMO: dict[str, tuple[dict, dict]] = {}
 
 
