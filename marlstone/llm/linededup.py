@@ -73,8 +73,13 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return spans.groupBy("doc", "body").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("ranges"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = False) -> DataFrame:
-    """``docs`` with the later repeated runs deleted from the text; with ``counts`` also n_lines and n_deleted."""
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = False, names: tuple[str, str] = ("n_lines", "n_deleted")) -> DataFrame:
+    """``docs`` with the later repeated runs deleted from the text; with ``counts`` also the lines and the deleted lines, as ``names``.
+
+    Other columns may have any names; with ``counts`` they may not be ``names``."""
+    clash = {c.lower() for c in docs.columns} & {n.lower() for n in names}
+    if counts and clash:
+        raise ValueError(f"columns named {sorted(clash)} are there already")
     ranges = repeated_ranges(docs, id_col, text_col)
     joined = docs.alias("d").join(ranges.alias("r"), F.col(f"d.{id_col}").eqNullSafe(F.col("r.doc")) & (F.xxhash64(F.col(f"d.{text_col}")) == F.col("r.body")), "left")
     text, found = F.col(f"d.{text_col}"), F.col("r.ranges")
@@ -84,7 +89,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     new = F.when(found.isNull(), text).otherwise(F.array_join(kept, "\n"))
     columns = [new.alias(c) if c == text_col else F.col(f"d.{c}") for c in docs.columns]
     if counts:
-        columns += [F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"), F.coalesce(deleted, F.lit(0)).cast("long").alias("n_deleted")]
+        columns += [F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias(names[0]), F.coalesce(deleted, F.lit(0)).cast("long").alias(names[1])]
     return joined.select(*columns)
 
 

@@ -28,7 +28,7 @@ from .shipping import ship
 
 SPACE = "▁"
 #: Distinct words kept with their ids in one Python worker, at most.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 300_000
 _MEMO: dict = {}
 
 

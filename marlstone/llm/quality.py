@@ -24,13 +24,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .merging import parts, space_words
+from .merging import give_back, parts, space_words
 from .shipping import ship
 
 BUCKETS = 1 << 18
 #: Labelled rows of each class that the model is fitted on, at most: those with the smallest hash of their id.
 MAX_ROWS_PER_CLASS = 3000
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 200_000
 _RUN = re.compile(r"[^\W\d_]+|[0-9]+")
 _MEMO: dict[str, tuple[int, int]] = {}
 
@@ -46,6 +46,12 @@ def _hashes(word: str) -> tuple[int, int]:
     return zlib.crc32(b"w" + raw) % BUCKETS, zlib.crc32(_RUN.sub(_shape, word).encode("utf-8", "surrogatepass"))
 
 
+def _forget() -> None:
+    """At the end of a task: the worker process goes on to tasks of other stages."""
+    _MEMO.clear()
+    give_back()
+
+
 def features(texts: pa.Array):
     """Yields (first row, rows, row of each indicator, bucket of each indicator), distinct and in row order."""
     for begin, part in parts(texts):
@@ -172,6 +178,7 @@ def quality_scores(docs: DataFrame, model: dict, id_col: str = "doc_id", text_co
         for batch in batches:
             got = scores(batch.column(1), shared.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(got), pa.array((got >= threshold).astype(np.int32))], names=["id", "held_out", "score", "predicted"])
+        _forget()
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(~in_training(F.col(id_col)), F.lit(False)).alias("held_out"))
@@ -187,5 +194,6 @@ def keep_good(docs: DataFrame, model: dict, text_col: str = "text", threshold: f
     def keep(batches):
         for batch in batches:
             yield batch.filter(pa.array(scores(batch.column(place).cast(pa.string()), shared.value) >= threshold))
+        _forget()
 
     return docs.mapInArrow(keep, docs.schema)
