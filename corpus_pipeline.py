@@ -1,6 +1,12 @@
 """From raw documents to encoded training text in five stages, each written as Parquet and read again by the next.
 
 quality classifier -> line dedup -> n-gram Jaccard join -> benchmark decontamination -> SentencePiece encoding.
+
+Defined results: a null or empty text is scored as a text without features, has no lines to delete, links with nothing,
+is clean and encodes to the begin and end ids; texts of any length count whole; of near copies the smallest id stays, of
+two texts with that id the one with the smaller hash; rows with the same id and text become one in the third stage and
+are treated alike before it; an empty table stays empty with its columns; all but the last stage keep every column as it
+is, whatever its name, but for a shortened text and the n_chars of its row.
 """
 
 from __future__ import annotations
@@ -13,11 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm.decontam import drop_contaminated
-from marlstone.llm.jaccard import jaccard_components
+from marlstone.llm.jaccard import keep_one
 from marlstone.llm.linededup import dedup_lines
 from marlstone.llm.pieces import encode_documents
 from marlstone.llm.quality import fit_quality_model, keep_good
-from marlstone.llm.shipping import shared_folder
+from marlstone.llm.shipping import shared_folder, unused
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,14 +33,15 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeats of line runs of 50 words or more are deleted; a document that loses all its words goes."""
-    counted = dedup_lines(docs, counts=True).filter((F.col("n_deleted") == 0) | F.col("text").rlike(r"\S"))
-    return counted.withColumn("n_chars", F.when(F.col("n_deleted") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(docs.columns)
+    names = unused(docs, "lines_before"), unused(docs, "lines_deleted")
+    whole = F.col(names[1]) == 0
+    counted = dedup_lines(docs, counts=True, names=names).filter(whole | F.col("text").rlike(r"\S"))
+    return counted.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id."""
-    keep = jaccard_components(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    """One document of each group of near copies stays, the one with the smallest id; repeated rows are one document."""
+    return keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
