@@ -252,6 +252,12 @@ FRESHNESS = {"claims": ("source_updated_at", 5400), "claim-lines": ("source_upda
 #: Letters that the rule ids of a source begin with.
 PREFIX = {"claims": "CLM", "claim-lines": "CLN", "eligibility": "ELG", "remittances": "REM", "payments": "PAY", "denials": "DEN", "appeals": "APL"}
 
+#: Rules that a value outside its list or bounds breaks, by source and field; CMN-014 elsewhere.
+VALUE_RULES = {
+    ("CLM", "currency_code"): "CLM-005", ("CLN", "currency_code"): "CLN-006", ("ELG", "currency_code"): "ELG-007", ("REM", "currency_code"): "REM-004", ("REM", "total_payment_amount"): "REM-004",
+    ("PAY", "currency_code"): "PAY-004", ("PAY", "amount"): "PAY-004", ("DEN", "currency_code"): "DEN-006", ("DEN", "denied_amount"): "DEN-006",
+}
+
 
 @dataclass(frozen=True)
 class Field:
@@ -302,18 +308,20 @@ class Contract:
         issues = []
         for f in self.fields:
             text = F.col(f.name)
+            governed = self.prefix == "REF" and f.name.endswith(("_rate", "_days"))
+            rule = "REF-007" if governed else VALUE_RULES.get((self.prefix, f.name), "CMN-014")
             value, blank = S.typed(text, f.kind), F.coalesce(text, F.lit("")) == ""
             if f.required:
                 issues.append(Q.required(f"{self.prefix}-001", f.name))
             if f.kind not in ("STRING", "STRING_LIST"):
                 issues.append(Q.issue("CMN-013", "rejected", f.name, "unparsable", ~blank & value.isNull()))
             if values := f.bound("in"):
-                issues.append(Q.issue("CMN-014", "quarantined", f.name, "not allowed", ~blank & ~text.isin(*values.split(","))))
+                issues.append(Q.issue(rule, "quarantined", f.name, "not allowed", ~blank & ~text.isin(*values.split(","))))
             if shape := f.bound("like"):
                 issues.append(Q.issue("CMN-014", "quarantined", f.name, "pattern", ~blank & ~text.rlike(shape)))
             for word, broken in (("from", lambda x: value < x), ("above", lambda x: value <= x), ("to", lambda x: value > x)):
                 if limit := f.bound(word):
-                    issues.append(Q.issue("CMN-014", "quarantined", f.name, f"not {word} {limit}", broken(F.lit(limit).cast("decimal(18,4)"))))
+                    issues.append(Q.issue(rule, "quarantined", f.name, f"not {word} {limit}", broken(F.lit(limit).cast("decimal(18,4)"))))
         return issues
 
 

@@ -9,6 +9,7 @@ from ..functions.scalars import typed
 from ..operators import quality as Q
 from ..operators import windows as W
 from .contracts import KEYS, contracts
+from .cross_rules import batch_freshness, parent_rules, reference_rules, unasked_eligibility
 from .ledger import applied_failures, reversal_failures
 
 R = Q.Relationship
@@ -39,7 +40,7 @@ def _row_rules(identity: str, evaluated: Column) -> list[Column]:
     if identity == "claim-lines":
         return [
             bad("CLN-004", "service_to_date", v("service_to_date") < v("service_from_date")),
-            bad("CLN-006", "billed_amount", v("billed_amount") != v("payer_paid_amount") + v("patient_paid_amount") + v("adjustment_amount") + v("outstanding_balance")),
+            bad("CLN-007", "billed_amount", v("billed_amount") != v("payer_paid_amount") + v("patient_paid_amount") + v("adjustment_amount") + v("outstanding_balance")),
             bad("CLN-008", "denial_reason_code", (F.col("line_status") == "denied") & ~has("denial_reason_code")),
             bad("CLN-009", "allowed_amount", v("payer_paid_amount") + v("patient_responsibility_amount") > v("allowed_amount")),
             bad("CLN-010", "patient_paid_amount", v("patient_paid_amount") > v("patient_responsibility_amount")),
@@ -135,12 +136,15 @@ def evaluate(frames: dict[str, DataFrame], evaluated: Column, keep) -> dict:
     absent = contracts().keys() - frames.keys()
     judged = {name: keep(classify(name, df, evaluated)) for name, df in frames.items()}
     declared = [r for r in RELATIONSHIPS if r.source in judged and r.target in judged]
+    judged = _with_broken(judged, reference_rules, keep)
     judged = Q.settle_relationships(judged, declared, keep)
+    judged = Q.settle_relationships(_with_broken(judged, parent_rules, keep), declared, keep)
     if {"payments", "claims", "claim-lines"} <= judged.keys():
         broken = [("PAY-008", "reverses_payment_id", reversal_failures(judged["payments"])), ("PAY-009", "amount", applied_failures(judged["payments"], judged["claims"], judged["claim-lines"]))]
         for rule, field, failed in broken:
             judged["payments"] = keep(Q.with_issue(judged["payments"], failed, rule, field, rule))
         judged = Q.settle_relationships(judged, declared, keep)
+    judged = _with_broken(judged, unasked_eligibility, keep)
     every = _union([df.select(F.lit(n).alias("identity"), "row_id", "issues", "disposition") for n, df in judged.items()])
     findings = every.filter("disposition = 'rejected'").select(F.lit("CMN-016").alias("rule_id"), "identity").distinct()
     if "remittances" in judged and "payments" in judged:
@@ -148,7 +152,18 @@ def evaluate(frames: dict[str, DataFrame], evaluated: Column, keep) -> dict:
     for name in sorted(absent):
         findings = findings.unionByName(every.sparkSession.createDataFrame([("REF-008", name)], "rule_id string, identity string"))
     counts = Q.disposition_counts(every, "identity")
-    return {"rows": judged, "counts": counts, "issues": Q.issue_distribution(every), "findings": findings, **Q.gate(counts, findings)}
+    return {"rows": judged, "counts": counts, "issues": Q.issue_distribution(every), "findings": findings, "freshness": batch_freshness(judged, evaluated), **Q.gate(counts, findings)}
+
+
+def _with_broken(judged: dict[str, DataFrame], rules, keep) -> dict[str, DataFrame]:
+    """``judged`` with an issue on the rows that ``rules`` find, all of them found before any is marked."""
+    found = [(identity, rule, field, how, failed) for identity, rule, field, how, failed in rules(judged)]
+    after = dict(judged)
+    for identity, rule, field, how, failed in found:
+        failed = keep(failed)
+        if not failed.isEmpty():
+            after[identity] = keep(Q.with_issue(after[identity], failed, rule, field, rule, how))
+    return after
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

@@ -115,3 +115,36 @@ def test_metrics_are_the_plain_sums(model):
     assert got["recovered_revenue"]["amount"] == sum(a.recovered_amount for a in won)
     empty = warehouse.metrics(built, end, end, F.lit("2020-01-01").cast("date"))
     assert empty["denial_rate"].first().status == "not_applicable" and empty["recovered_revenue"].first().amount == 0
+
+
+def test_rules_across_rows(month):
+    frames = dict(month)
+    some = lambda n, key, k=3, where="true": [r[0] for r in frames[n].filter(where).orderBy(key).select(key).distinct().orderBy(key).take(k)]
+    lines, denials, claims = some("claim-lines", "claim_line_id"), some("denials", "denial_id", 2), some("claims", "eligibility_id", 3)
+    frames["claim-lines"] = change(change(frames["claim-lines"], "claim_line_id", lines[0], currency_code="EUR"), "claim_line_id", lines[1], service_from_date="2020-01-01")
+    frames["denials"] = change(frames["denials"], "denial_id", denials[0], denied_amount="99999999.00")
+    frames["eligibility"] = change(change(frames["eligibility"], "eligibility_id", claims[0], response_status="unknown"), "eligibility_id", claims[1], coverage_end_date="2020-06-01", coverage_start_date="2020-01-01")
+    result = rules.evaluate(frames, evaluated(), shared_checkpoint)
+    got = {n: {(r[key], i.rule_id) for r in result["rows"][n].collect() for i in r.issues} for n, key in (("claim-lines", "claim_line_id"), ("denials", "denial_id"), ("claims", "eligibility_id"), ("eligibility", "eligibility_id"))}
+    assert (lines[0], "CLN-006") in got["claim-lines"] and (lines[0], "CLN-007") not in got["claim-lines"] and (denials[0], "DEN-006") in got["denials"]
+    assert any(r == "CLM-011" for _, r in got["claims"])
+    assert (claims[0], "ELG-008") in got["eligibility"]
+    fresh = {r.identity: (r.age_seconds, r.late) for r in result["freshness"].collect()}
+    assert set(fresh) == {"claims", "claim-lines", "eligibility", "remittances", "payments", "denials", "appeals"} and all(age >= 0 for age, _ in fresh.values())
+
+
+def test_rules_of_reference_versions(month):
+    payers = month["reference-data.payers"]
+    first, second = (r[0] for r in payers.select("payer_id").distinct().orderBy("payer_id").take(2))
+    again = payers.filter(F.col("payer_id") == first).limit(1).withColumn("valid_from", F.lit("2026-07-15"))
+    result = rules.evaluate({"reference-data.payers": change(payers, "payer_id", second, historical_resolution_rate="1.5").unionByName(again)}, evaluated(), shared_checkpoint)
+    got = {(r.payer_id, i.rule_id) for r in result["rows"]["reference-data.payers"].collect() for i in r.issues}
+    assert got == {(first, "REF-004"), (first, "REF-005"), (second, "REF-007")} and result["freshness"] is None
+
+
+def test_overlapping_versions_by_one_sort(spark):
+    from marlstone.claims.cross_rules import overlapping_versions
+
+    spans = [("a", 1, "2020-01-01", "2020-12-31"), ("a", 2, "2020-12-31", ""), ("b", 3, "2020-01-01", ""), ("b", 4, "2020-03-01", "2020-04-01"), ("b", 5, "2021-01-01", "2021-02-01"), ("c", 6, "2020-01-01", "2020-02-01"), ("c", 7, "2020-01-01", "2020-02-01"), ("d", 8, "", "")]
+    df = spark.createDataFrame(spans, "e string, row_id int, valid_from string, valid_to string")
+    assert {r[0] for r in overlapping_versions(df, ["e"]).collect()} == {3, 4, 5, 6, 7}
