@@ -268,3 +268,23 @@ def test_pipeline_stages(spark):
     passed = {r.doc_id for r in kept["quality classifier"].collect()}
     assert len(good - passed) <= 0.02 * len(good) and len(low & passed) <= 0.2 * len(low)
     assert {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()} == {r.doc_id for r in kept["SentencePiece encoding"].collect()}
+
+
+def test_clashing_names_long_texts_and_repeated_rows(spark):
+    item = " ".join(f"i{k}" for k in range(12))
+    long = " ".join(f"w{k % 977}" for k in range(20_000))
+    rows = [(1, f"a {item} b"), (2, long), (3, "clean words"), (3, "clean words"), (4, None)]
+    df = spark.createDataFrame([(i, t, "x", 1, 2, 3) for i, t in rows], "doc_id bigint, text string, hits string, doc int, body int, n_words int")
+    bench = spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    kept = decontam.drop_contaminated(df, bench)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 3, 4]
+    report = {(r.doc_id, r.n_words, r.n_hit) for r in decontam.contamination_report(df, bench).collect()}
+    assert report == {(1, 14, 12), (2, 20_000, 0), (3, 2, 0), (4, 0, 0)}
+
+
+def test_keep_one_of_each_group(spark):
+    near = [f"n{k}" for k in range(60)]
+    rows = [(5, " ".join(near)), (5, " ".join(near)), (9, " ".join([*near, "z"])), (2, "other words here"), (2, "apart from it"), (7, None), (7, None)]
+    df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id bigint, text string, kept_id string, row_key string")
+    out = jaccard.keep_one(df)
+    assert out.columns == df.columns and sorted((r.doc_id, (r.text or "")[:5]) for r in out.collect()) == [(2, "apart"), (2, "other"), (5, "n0 n1"), (7, "")]
