@@ -1,13 +1,17 @@
 """Main text of HTML pages by line-block distribution.
 
-Markup is stripped into text blocks; parts of the page that are never article text
-(scripts, menus, forms, adverts, comments and the like) leave empty lines behind.
-The text lengths are summed over a sliding window of WINDOW lines: where the sum
-leaves zero is a surge point, where it falls back to zero a dive point, and the
-blocks between them form a segment. On a page that marks its article or main
-element, all segments inside it are kept; on others those with a line of text that
-is not all but links, whatever the size of the page and of its other segments. A form
-that holds an article or most of the page's text is read as any other part.
+Markup is stripped into lines of text. Parts that a page never shows as text or names as its
+frame (scripts, nav, footer, form and the like) and the step from one container to a sibling
+leave WINDOW empty lines. The evidence of a line is its length outside links; mark-up only
+weighs it: a marked article adds MARKED characters, text outside it on such a page and class
+words that name parts beside the text take a share. Over a sliding window of WINDOW lines the
+evidence is summed. Lines in a window without evidence are cut out; of the segments between
+them those stay in which a window reaches SURGE, from surge to dive point. On pages without
+a marked article a segment also stays if it shares its innermost container with one of these
+or lies between two of them, and if no window of the page reaches SURGE, all
+segments that are not links stay.
+
+A form that holds an article or most of the page's text is read as any other part.
 
 Defined results: a null or empty page, or one without article text, gives the
 empty string; pages of any length are read whole; repeated rows give the same text
@@ -19,6 +23,8 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,13 +32,19 @@ from pyspark.sql import functions as F
 
 from .shipping import ship
 
-WINDOW = 3
-#: On pages without a marked article: share of a line's text that must be outside links for its segment to be text.
+WINDOW = 2
+#: Characters of evidence that make a window part of the text, and those that a line of a marked article starts with.
+SURGE, MARKED = 80, 320
+#: Shares of a line's evidence: outside the marked article, under class words beside the text, under class words of such parts only.
+OUTSIDE, HINTED, NAMED = 1 / 8, 1 / 4, 1 / 100
+#: Share of a line's text that must be outside links for its segment to be text, on pages without a surge.
 UNLINKED = 0.25
 #: Elements whose text is not read at all, elements of the page's frame, elements that start a block, empty elements.
 RAW = frozenset("script style title textarea noscript template svg iframe noembed noframes xmp math".split())
 FRAME = frozenset("head nav header footer aside menu form button select option dialog fieldset object embed canvas audio video map applet datalist".split())
 BLOCK = frozenset("address article aside blockquote body br center dd details dir div dl dt figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul caption search".split())
+#: Blocks that hold other blocks; a step over two of their edges parts segments.
+CONTAINER = frozenset("article body div fieldset form hgroup main section table".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words in class, id or role that mark parts beside the article, and those that mark the article.
 BESIDE = frozenset(
@@ -42,76 +54,116 @@ ARTICLE = frozenset("article content main body post entry story text".split())
 #: Of BESIDE, the words that count even next to a word of ARTICLE.
 STRONG = BESIDE - frozenset("header more notice banner respond reply search".split())
 
+#: Words that say nothing of their own in a class.
+GENERIC = frozenset("area bar block bottom box btn button buttons center col column container count form global group inner item items js left link links list outer page panel primary right row secondary section site slot thread top unit user users wrap wrapper".split())
+
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)|[^<]+|<""", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _END = {name: re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE) for name in RAW}
 
 
-def _role(name: str, attributes: str) -> str:
-    """'beside', 'article' or ''."""
+def _role(name: str, attributes: str) -> tuple[str, float]:
+    """('hidden', 'article' or '', share of its text's evidence)."""
     if name in FRAME:
-        return "beside"
-    role = "article" if name in ("article", "main") else ""
+        return "hidden", 1.0
+    marked = name in ("article", "main")
     if not attributes.strip():
-        return role
+        return "article" if marked else "", 1.0
     values = {m[1].lower(): html_lib.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)}
     style = values.get("style", "").replace(" ", "").lower()
     if "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style:
-        return "beside"
+        return "hidden", 1.0
     if name in ("html", "body"):
-        return ""
-    words: set[str] = set()
-    for part in " ".join(values.get(k, "") for k in ("class", "id", "role")).split():
-        if not re.match(r"(?:has|with|no|without|is|not)[-_]", part):
-            words.update(w.lower() for w in _WORDS.findall(part))
-    if words & (STRONG if name in ("article", "main") or words & ARTICLE else BESIDE):
-        return "beside"
-    return "article" if role or values.get("role") in ("main", "article") or values.get("itemprop") == "articleBody" else ""
+        return "", 1.0
+    share = _share(name, [part for k in ("class", "id", "role") for part in values.get(k, "").split()], marked)
+    marked |= values.get("role") in ("main", "article") or values.get("itemprop") == "articleBody"
+    return "article" if marked and share == 1 else "", share
+
+
+def _share(name: str, parts: list[str], marked: bool) -> float:
+    """What class words leave of the evidence: of a paragraph, and where other words stand beside them, never less than HINTED."""
+    if name not in BLOCK and "-" not in name:
+        return 1.0
+    tokens = [{w.lower() for w in _WORDS.findall(part)} for part in parts if not re.match(r"(?:has|with|no|without|is|not)[-_]", part)]
+    beside = STRONG if marked or any(t & ARTICLE for t in tokens) else BESIDE
+    hits = [t for t in tokens if t & beside]
+    if not hits:
+        return 1.0
+    named = any(all(w in BESIDE or w in GENERIC or w in ARTICLE or w.isdigit() for w in t) for t in hits)
+    return NAMED if named and (name in CONTAINER or name in ("ul", "ol", "dl", "table", "figure", "details") or "-" in name) else HINTED
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """(text, length outside links, inside the article) of every line; parts beside the article are WINDOW empty lines."""
+class Line(NamedTuple):
+    """A line of text; the empty text is an empty line."""
+
+    text: str
+    free: int = 0  # characters outside links
+    share: float = 1.0
+    inside: bool = False  # a marked article
+    container: int = -1
+
+
+def lines_of(page: str) -> list[Line]:
+    """The lines of the page with the empty lines that its mark-up leaves."""
     lines, forms = _walk(page, frozenset())
     return _walk(page, forms)[0] if forms else lines
 
 
-def _walk(page: str, clear: frozenset[int]) -> tuple[list[tuple[str, int, bool]], frozenset[int]]:
+def _walk(page: str, clear: frozenset[int]) -> tuple[list[Line], frozenset[int]]:
     """(lines, starts of the outermost forms that hold an article or most text); the forms that start at ``clear`` hide nothing."""
-    out: list[tuple[str, int, bool]] = []
-    gap = [("", 0, False)] * WINDOW
-    stack: list[tuple[str, str]] = []  # name, role
-    beside = inside = links = 0
+    out: list[Line] = []
+    gap = [Line("")] * WINDOW
+    stack: list[tuple[str, str, float]] = []  # name, role, share
+    opened: Counter[str] = Counter()  # open elements by name
+    containers = [-1]  # open ones by number
+    edges = numbered = 0  # edges of containers since the last line, containers so far
+    hidden = inside = links = frames = hinted = 0
+    shares = [1.0]  # product of the open shares, by hint
     text: list[str] = []
-    weight = 0
+    free = 0
     seen_article = False
+    endless_title = False
     form_at, forms, in_forms = -1, 0, 0  # start of the outermost open form, open forms, those of them that hide
     held: dict[int, list] = {}  # by outermost form: whether it holds an article, characters
     total = 0
 
     def flush():
-        nonlocal weight
+        nonlocal free, edges
         if text:
             joined = " ".join("".join(text).split())
             if joined:
-                out.append((joined, weight, inside > 0))
+                if edges > 1:
+                    out.extend(gap)
+                edges = 0
+                out.append(Line(joined, free, shares[-1], inside > 0, containers[-1]))
             text.clear()
-        weight = 0
+        free = 0
 
     def leave(count: int):
-        nonlocal beside, inside, links, forms, in_forms, form_at
+        nonlocal hidden, inside, links, forms, in_forms, form_at, edges, frames, hinted
         for _ in range(count):
-            name, role = stack.pop()
+            name, role, share = stack[-1]
+            if role or share != 1 or name in CONTAINER:
+                flush()
+            stack.pop()
+            opened[name] -= 1
             links -= name == "a"
+            if name in CONTAINER:
+                containers.pop()
+                edges += 1
             if name == "form":
                 forms -= 1
-                in_forms -= role == "beside"
+                in_forms -= role == "hidden"
                 form_at = form_at if forms else -1
-            if role:
-                flush()
-                beside -= role == "beside"
+            if role or share != 1:
+                hidden -= role == "hidden"
+                frames -= role == "hidden" and name in FRAME
                 inside -= role == "article"
-                if not beside:
+                if share != 1:
+                    shares.pop()
+                    hinted -= 1
+                if not hidden:
                     out.extend(gap)
 
     at, size = 0, len(page)
@@ -122,81 +174,99 @@ def _walk(page: str, clear: frozenset[int]) -> tuple[list[tuple[str, int, bool]]
         if name is None:
             if page.startswith("<!", m.start()) or page.startswith("<?", m.start()):
                 continue
-            if beside == in_forms:  # nothing but forms hides this
+            if hidden == in_forms:  # nothing but forms hides this
                 n = len(m[0].strip())
                 total += n
                 if form_at in held:
                     held[form_at][1] += n
-            if not beside:
+            if not hidden:
                 plain = m[0] if "&" not in m[0] else html_lib.unescape(m[0])
                 text.append(plain)
-                weight += 0 if links else len(plain.strip())
+                free += 0 if links else len(plain.strip())
             continue
         name, closing, attributes = name.lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
         if closing:
             if name in BLOCK:
                 flush()
-            depth = next((k for k in range(len(stack), 0, -1) if stack[k - 1][0] == name), 0)
-            if depth:
-                leave(len(stack) - depth + 1)
+            if opened[name]:  # what is left here was entered once, so that all of the page costs its length
+                leave(next(k for k, x in enumerate(reversed(stack), 1) if x[0] == name))
             continue
         if name in RAW:
-            if not attributes.rstrip().endswith("/"):
+            if not attributes.rstrip().endswith("/") and not (name == "title" and endless_title):
                 end = _END[name].search(page, at)
                 # an unclosed raw element swallows the rest of its page, as in browsers; a title only its line
+                endless_title |= not end and name == "title"
                 at = end.end() if end else (size if name != "title" else at)
             continue
-        role = _role("div" if name == "form" and m.start() in clear else name, attributes)
+        role, share = _role("div" if name == "form" and m.start() in clear else name, attributes)
         if name in BLOCK:
             flush()
         if name in VOID:
             continue
-        if name == "body":  # an unclosed head ends here
-            leave(next((len(stack) - k for k, x in enumerate(stack) if x[0] == "head"), 0))
-        if role == "article" and beside and not seen_article and all(x[0] not in FRAME or x[1] != "beside" for x in stack):
-            leave(len(stack) - next(k for k, x in enumerate(stack) if x[1] == "beside"))  # what hides the only article was left open
+        if name == "body" and opened["head"]:  # an unclosed head ends here
+            leave(next(len(stack) - k for k, x in enumerate(stack) if x[0] == "head"))
+        if role == "article" and (hidden or hinted) and not frames and not seen_article:
+            leave(len(stack) - next(k for k, x in enumerate(stack) if x[1] == "hidden" or x[2] != 1))  # what is beside the only article was left open
         if name in ("p", "li", "dt", "dd", "option", "tr", "td", "th") and stack and stack[-1][0] == name:
             leave(1)  # these end where the next one begins
-        if name in ("p", "b", "i", "em", "strong", "span", "u", "font", "small") and not role and not beside:
+        if name in ("p", "b", "i", "em", "strong", "span", "u", "font", "small") and not role and share == 1 and not hidden:
             continue  # their end tags change nothing
-        if role == "article" and beside == in_forms and form_at in held:
+        if role == "article" and hidden == in_forms and form_at in held:
             held[form_at][0] = True
         if name == "form":
             if not forms:
                 form_at = m.start()
-                if _role("div", attributes) != "beside":
+                if _role("div", attributes) == ("", 1.0):
                     held[form_at] = [False, 0]
             forms += 1
-            in_forms += role == "beside"
-        stack.append((name, role))
-        links += name == "a"
-        if role:
+            in_forms += role == "hidden"
+        if role or share != 1:
             flush()
-            if not beside:
+            if not hidden:
                 out.extend(gap)
-            beside += role == "beside"
+            hidden += role == "hidden"
+            frames += role == "hidden" and name in FRAME
+            if share != 1:
+                shares.append(shares[-1] * share)
+                hinted += 1
             if role == "article":
                 inside += 1
-                seen_article |= not beside
+                seen_article |= not hidden
+        elif name in CONTAINER:
+            flush()
+        stack.append((name, role, share))
+        opened[name] += 1
+        links += name == "a"
+        if name in CONTAINER:
+            numbered += 1
+            containers.append(numbered)
+            edges += 1
     flush()
     return out, frozenset(at for at, (article, n) in held.items() if article or n * 2 > total)
 
 
-def segments(lines: list[tuple[str, int, bool]]) -> list[tuple[int, int]]:
-    """(surge, dive) line ranges in which the window sums of text length stay above zero."""
-    sums, total = [], 0
-    for k, line in enumerate(lines):
-        total += len(line[0]) - (len(lines[k - WINDOW][0]) if k >= WINDOW else 0)
-        sums.append(total)
-    out, start = [], None
-    for k, s in enumerate(sums):
-        if s > 0 and start is None:
+def window_sums(values: list[float]) -> list[float]:
+    """Sums of the windows of WINDOW values; a shorter list is one window."""
+    n = min(WINDOW, len(values))
+    return [sum(values[k : k + n]) for k in range(len(values) - n + 1)] if n else []
+
+
+def segments(values: list[float]) -> list[tuple[int, int, float]]:
+    """(surge line, dive line, highest window sum) of the ranges of lines that are in no window without evidence."""
+    sums = window_sums(values)
+    n = len(values) - len(sums) + 1 if sums else 0
+    out: list[tuple[int, int, float]] = []
+    start, out_until = None, 0
+    for k in range(len(values) + 1):
+        if k < len(sums) and sums[k] == 0:
+            out_until = k + n
+        if k < out_until or k == len(values):
+            if start is not None:
+                # windows that reach over an edge count what is inside, as the empty lines there add nothing
+                out.append((start, k, max(sums[max(0, start - n + 1) : k])))
+                start = None
+        elif start is None:
             start = k
-        elif s == 0 and start is not None:
-            out.append((start, k))
-            start = None
-    if start is not None:
-        out.append((start, len(lines)))
     return out
 
 
@@ -204,14 +274,26 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     lines = lines_of(page)
-    found = segments(lines)
-    if any(x[2] and x[0] for x in lines):
-        kept = [(a, b) for a, b in found if any(x[2] for x in lines[a:b])]
+    marked = any(x.inside for x in lines)
+    found = segments([(x.free + MARKED * x.inside) * x.share * (OUTSIDE if marked and not x.inside else 1) for x in lines])
+    surges = [peak >= SURGE for _, _, peak in found]
+    if not any(surges):
+        kept = [(a, b) for a, b, _ in found if any(x.free and x.free >= UNLINKED * len(x.text) and x.share > NAMED for x in lines[a:b])]
+        if not kept:  # links or named parts are all there is
+            kept = [(a, b) for a, b, _ in found if any(x.free for x in lines[a:b])]
+    elif marked:
+        kept = [(a, b) for (a, b, _), surge in zip(found, surges) if surge]
     else:
-        kept = [(a, b) for a, b in found if any(x[1] and x[1] >= UNLINKED * len(x[0]) for x in lines[a:b])]
-        if not kept:  # links are nearly all there is
-            kept = [(a, b) for a, b in found if any(x[1] for x in lines[a:b])]
-    return "\n".join(x[0] for a, b in kept for x in lines[a:b] if x[0])
+        first, last = surges.index(True), len(surges) - surges[::-1].index(True)
+        text_in = {x.container for (a, b, _), surge in zip(found, surges) if surge for x in lines[a:b] if x.text}
+
+        def belongs(k: int) -> bool:
+            own = [x for x in lines[found[k][0] : found[k][1]] if x.text]
+            near = first < k < last or any(x.container in text_in for x in own)
+            return near and any(x.free >= UNLINKED * len(x.text) and x.share > NAMED for x in own)
+
+        kept = [(a, b) for k, (a, b, _) in enumerate(found) if surges[k] or belongs(k)]
+    return "\n".join(x.text for a, b in kept for x in lines[a:b] if x.text)
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -5,6 +5,7 @@ import hashlib
 import json
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -140,10 +141,67 @@ def test_forms_around_the_text_are_read(html, want):
     assert maintext.main_text(html) == want
 
 
+SENTENCES = "A sentence of the story that goes on for a while. " * 3
+STORY = "<h1>The story</h1>" + f"<p>{SENTENCES}</p>" * 3
+STORY_TEXT = "\n".join(["The story", *[SENTENCES.strip()] * 3])
+AROUND = f"<div><a href='/'>Home</a> | <a href='/n'>News</a></div><div>{STORY}</div><div><h3>Read also</h3><a href='/1'>One thing</a></div><div>Copyright 2024 Example Ltd. All rights reserved.</div>"
+
+
+def test_unmarked_pages_lose_menu_and_footer_by_the_windows(monkeypatch):
+    assert maintext.main_text(page(AROUND)) == STORY_TEXT
+    # the same lines without windows: all of them come out
+    monkeypatch.setattr(maintext, "segments", lambda values: [(0, len(values), sum(values))])
+    whole = maintext.main_text(page(AROUND)).split("\n")
+    assert whole[0] == "Home | News" and whole[-1].startswith("Copyright")
+
+
+def test_windows_decide_on_marked_pages():
+    teaser, long = "<article><p>A teaser</p></article>", "word " * 200
+    assert maintext.main_text(page(f"{teaser}<div><p>{long}</p></div><div><p>A short note</p></div>")) == "A teaser\n" + long.strip()
+    assert maintext.main_text(page(f"{teaser}<div class='ad'><p>{long}</p></div>")) == "A teaser"
+
+
+@pytest.mark.parametrize("html", ["<p class='share-price'>Up 4 %</p>", "<section id='search-results-analysis'><p>Short.</p></section>", "<p class='notice'>x</p>", "<div class='comments'><p>" + "long " * 4000 + "</p></div>"])
+def test_class_words_only_weigh(html):
+    inner = " ".join(re.sub(r"<[^>]*>", "", html).split())
+    assert maintext.main_text(page(f"<article><p>a</p>{html}<p>b</p></article>")) == f"a\n{inner}\nb"
+
+
+@pytest.mark.parametrize("name", ["comments", "comment-list", "ad", "ad-slot-1", "cookie-notice", "newsletter-form", "site-sidebar"])
+def test_named_parts_go(name):
+    part = f"<div class='{name}'><p>{SENTENCES}</p></div>"
+    assert maintext.main_text(page(f"<article><p>a</p>{part}<p>b</p></article>{part}")) == "a\nb"
+    assert maintext.main_text(page(f"{part}<div>{STORY}{part}</div>{part}")) == STORY_TEXT
+
+
+def test_segments_by_brute_force():
+    rng = random.Random(4)
+    for _ in range(500):
+        values = [rng.choice([0, 0, 0, 1, 50, 90]) for _ in range(rng.randint(0, 12))]
+        n = min(maintext.WINDOW, len(values)) or 1
+        windows = [range(k, k + n) for k in range(len(values) - n + 1)] if values else []
+        assert maintext.window_sums(values) == [sum(values[k] for k in w) for w in windows]
+        out = {k for w in windows if not any(values[k] for k in w) for k in w}
+        runs, k = [], 0
+        while k < len(values):
+            end = next((j for j in range(k, len(values)) if j in out), len(values))
+            if end > k:
+                runs.append((k, end, max(sum(values[j] for j in w) for w in windows if set(w) & set(range(k, end)))))
+            k = end + 1
+        assert maintext.segments(values) == runs
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<title>", "<div class='ad'>", "<form>", "<article>", "<a>", "<p class='ad'>a", "<table><td>"])
+def test_malformed_pages_take_time_in_proportion(unit):
+    began = time.process_time()
+    maintext.main_text(unit * 40_000 + "</span></b>" * 10_000 + "x")
+    assert time.process_time() - began < 5
+
+
 def test_main_text_of_a_frame(spark):
-    df = spark.createDataFrame([(1, "u", page("<article><p>é 😀</p></article>"), "clash"), (2, None, None, None)], "page_id bigint, url string, html string, text string")
+    df = spark.createDataFrame([(1, "u", page("<article><p>é 😀</p></article>"), "clash"), (2, None, None, None), (2, None, None, None)], "page_id bigint, url string, html string, text string")
     got = {r.page_id: (r.url, r.text, r.n_chars) for r in maintext.extract_main_text(df).collect()}
-    assert got == {1: ("u", "é 😀", 3), 2: (None, "", 0)}
+    assert got == {1: ("u", "é 😀", 3), 2: (None, "", 0)} and maintext.extract_main_text(df).count() == 3
     assert maintext.extract_main_text(df.filter("false")).count() == 0
 
 
