@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -245,6 +246,80 @@ def test_licence_weights_count_all_words_at_every_size(spark, copies):
     assert abs(got[0].score - sum(x * b.get(w, 0) for w, x in a.items()) / norm(a) / norm(b)) < 1e-9
 
 
+def license_truth(rows):
+    """{row number: (license, score, origin)} by dense vectors of every unit and by a walk up the folders."""
+    lines = [ws for _, _, t in rows for x in (t or "").split("\n") if (ws := licenses.words_of(x))]
+    df_of = collections.Counter(w for ws in lines for w in set(ws))
+    vector = lambda ws: {w: n * (np.log((len(lines) + 1) / (df_of[w] + 1)) + 1) for w, n in collections.Counter(ws).items()}
+    norm = lambda v: sum(x * x for x in v.values()) ** 0.5
+    templates = [(name, vector(licenses.words_of(text))) for name, text in licenses.TEMPLATES]
+    own, speaks = {}, {}
+    for k, (_, path, text) in enumerate(rows):
+        found = [(licenses.LINE, x, len(licenses.words_of(m[0])), 1.0, m[1]) for x, line in enumerate((text or "").split("\n")) for m in licenses._TAG.finditer(line)]
+        tagged = {x[1] for x in found}
+        for level, line, words in licenses.units(text or ""):
+            v = vector(words)
+            cosine = [sum(x * y.get(w, 0.0) for w, x in v.items()) / norm(v) / norm(y) for _, y in templates]
+            i = max(range(len(cosine)), key=lambda i: (round(cosine[i], 9), -i))
+            if cosine[i] >= licenses.SIMILAR and not (level == licenses.LINE and line in tagged):
+                found.append((level, line, len(words), cosine[i], templates[i][0]))
+        best = max(found, key=lambda x: (x[0] if x[3] >= licenses.CLEAR else -1, round(x[3], 9), -x[1], x[4]), default=None)
+        inside = collections.Counter()
+        for level, _, n, _, _ in found:
+            inside[level] += n
+        speaks_up = best and (bool(re.search(licenses.FILE_NAME, path or "")) or max(inside.values()) >= licenses.LICENCE_SHARE * len(licenses.words_of(text or "")))
+        own[k] = (best[4], best[3], "file" if speaks_up else "header") if best else (None, None, None)
+        if speaks_up and path is not None:
+            folder = path.rpartition("/")[0]
+            speaks[folder] = min(speaks.get(folder, (0.0, "")), (-round(best[3], 9), best[4]))
+    for k, (_, path, _) in enumerate(rows):
+        folder = path.rpartition("/")[0] if path is not None and own[k][0] is None else None
+        while folder is not None and folder not in speaks:
+            folder = folder.rpartition("/")[0] if folder else None
+        if folder is not None:
+            own[k] = (speaks[folder][1], -speaks[folder][0], "inherited")
+    return own
+
+
+def wrapped(text, width, mark=""):
+    return "\n".join(mark + x for part in text.split("\n") for x in textwrap.wrap(part, width))
+
+
+BODY = {name: text for name, text in reversed(licenses.BODIES)}
+
+
+def test_licence_scan_and_inheritance_by_brute_force(spark):
+    rng = random.Random(8)
+    code = ["import os", "x = the_value(of, it)", "# see the file for the rest.", "", "return a and b or c", "All rights reserved.", "/* Copyright (c) 2020 A. Author */"]
+    rows = []
+    for k in range(150):
+        folder = "/".join(rng.choice("abc") for _ in range(rng.randint(0, 4)))
+        name = rng.choice(["LICENSE", "x.py", "y.c", "COPYING.txt", "z"])
+        lines = [rng.choice(code) for _ in range(rng.randint(0, 8))]
+        if rng.random() < 0.35:
+            text = rng.choice(licenses.TEMPLATES)[1]
+            cut = text.split()
+            text = text if rng.random() < 0.6 else " ".join(w for w in cut if rng.random() < 0.8)
+            lines.insert(0, wrapped(text, rng.choice([40, 76, 5000]), rng.choice(["", "# ", " * "])))
+        if rng.random() < 0.1:
+            lines.append("// SPDX-License-Identifier: " + rng.choice(["Apache-2.0", "(MIT OR Apache-2.0)", "GPL-2.0-only WITH Classpath-exception-2.0"]))
+        rows.append((k, None if rng.random() < 0.05 else f"{folder}/{name}".lstrip("/"), None if rng.random() < 0.05 else "\n".join(lines)))
+    want = license_truth(rows)
+    got = {r.doc_id: (r.license, r.score, r.origin) for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, path string, text string"), ["doc_id"]).collect()}
+    assert {k: (x[0], x[2]) for k, x in got.items()} == {k: (x[0], x[2]) for k, x in want.items()}
+    assert all(abs((got[k][1] or 0) - (want[k][1] or 0)) < 1e-6 for k in want)
+    assert {x[2] for x in want.values()} == {"file", "header", "inherited", None}
+
+
+def test_whole_wrapped_licences_and_tags(spark):
+    rows = [(name, wrapped(text, 70, mark)) for name, text in BODY.items() for mark in ("", "# ", " * ")]
+    rows = [(name, f"The title\n\nCopyright (c) 2024 A. Author\n{text}\n") for name, text in rows if len(text) > 300]
+    rows += [("Apache-2.0 OR MIT", "// SPDX-License-Identifier: Apache-2.0 OR MIT\nint main() {}"), ("MIT", "/* SPDX-License-Identifier: MIT */"), (None, "word of the licence and as is " * 20_000), (None, "the and of\n" * 5_000)]
+    df = spark.createDataFrame([(k, None, text) for k, (_, text) in enumerate(rows)], "doc_id bigint, path string, text string")
+    got = {r.doc_id: r.license for r in licenses.scan_licenses(df, ["doc_id"]).collect()}
+    assert got == {k: name for k, (name, _) in enumerate(rows)}
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
