@@ -31,11 +31,11 @@ PARTS = 32
 
 
 def numbered_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, body, pos, two line hashes, words, words before) of every line that is not blank, dealt by document."""
+    """(doc, body, pos, line hash in two parts, words, words before) of every line that is not blank, dealt by document."""
     texts = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("body"), F.col(text_col).alias("text"))
     lines = texts.select("doc", "body", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     lines = lines.select("doc", "body", "pos", F.trim("line").alias("line")).filter("line <> ''")
-    lines = lines.select("doc", "body", "pos", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(PARTS), "line").alias("h2"), F.size(F.split("line", " +")).alias("n"))
+    lines = lines.select("doc", "body", "pos", F.struct(F.xxhash64("line").alias("x"), F.xxhash64(F.lit(PARTS), "line").alias("y")).alias("h"), F.size(F.split("line", " +")).alias("n"))
     lines = lines.repartition("doc", "body").dropDuplicates(["doc", "body", "pos"])
     before = Window.partitionBy("doc", "body").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     return lines.withColumn("s", F.coalesce(F.sum("n").over(before), F.lit(0)))
@@ -59,10 +59,10 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_doc = F.col("doc").eqNullSafe(F.col("hit_doc")) & (F.col("body") == F.col("hit_body"))
     near = lines.join(hits.select("hit_doc", "hit_body").distinct(), of_doc, "left_semi")
     flagged = near.join(hits, of_doc & (F.col("pos") == F.col("hit_pos")), "left")
-    run = lambda w: F.struct(F.sort_array(F.collect_list(F.struct("pos", "h", "h2")).over(w)).alias("lines"), F.coalesce(F.bool_or("hit").over(w), F.lit(False)).alias("hit"))
+    run = lambda w: F.struct(F.sort_array(F.collect_list(F.struct("pos", "h")).over(w)).alias("lines"), F.coalesce(F.bool_or("hit").over(w), F.lit(False)).alias("hit"))
     by_end = Window.partitionBy("doc", "body").orderBy("e").rangeBetween(-(RUN_WORDS - 1), 0)
     both = flagged.select("doc", "body", F.when(F.col("total") - F.col("s") >= RUN_WORDS, run(ahead(RUN_WORDS))).alias("on"), F.when(F.col("e") >= RUN_WORDS, run(by_end)).alias("up"))
-    runs = both.select("doc", "body", F.explode(F.array("on", "up")).alias("run")).filter("run.hit").select("doc", "body", F.xxhash64("run.lines.h").alias("key"), F.xxhash64("run.lines.h2").alias("key2"), F.pmod(F.xxhash64("doc", "body"), F.lit(PARTS)).alias("part"), F.col("run.lines.pos")[0].alias("first"), F.element_at("run.lines.pos", -1).alias("last"))
+    runs = both.select("doc", "body", F.explode(F.array("on", "up")).alias("run")).filter("run.hit").select("doc", "body", F.xxhash64("run.lines.h").alias("key"), F.xxhash64(F.lit(PARTS), "run.lines.h").alias("key2"), F.pmod(F.xxhash64("doc", "body"), F.lit(PARTS)).alias("part"), F.col("run.lines.pos")[0].alias("first"), F.element_at("run.lines.pos", -1).alias("last"))
     place = F.struct("doc", "body", "first")
     # the first place of each part, then of all parts, handed back to the parts
     parts = runs.groupBy("key", "key2", "part").agg(F.min(place).alias("least"), F.count("*").alias("n"))
