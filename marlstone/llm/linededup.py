@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shipping import checkpointed
+
 GRAM_WORDS, WINDOW_WORDS, RUN_WORDS = 20, 20, 50
 #: Parts that the places of a run are dealt to, so that one run in a third of all documents is not one task's.
 PARTS = 32
@@ -63,6 +65,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by_end = Window.partitionBy("doc", "body").orderBy("e").rangeBetween(-(RUN_WORDS - 1), 0)
     both = flagged.select("doc", "body", F.when(F.col("total") - F.col("s") >= RUN_WORDS, run(ahead(RUN_WORDS))).alias("on"), F.when(F.col("e") >= RUN_WORDS, run(by_end)).alias("up"))
     runs = both.select("doc", "body", F.explode(F.array("on", "up")).alias("run")).filter("run.hit").select("doc", "body", F.xxhash64("run.lines.h").alias("key"), F.xxhash64(F.lit(PARTS), "run.lines.h").alias("key2"), F.pmod(F.xxhash64("doc", "body"), F.lit(PARTS)).alias("part"), F.col("run.lines.pos")[0].alias("first"), F.element_at("run.lines.pos", -1).alias("last"))
+    runs = checkpointed(runs)  # few rows, read twice below
     place = F.struct("doc", "body", "first")
     # the first place of each part, then of all parts, handed back to the parts
     parts = runs.groupBy("key", "key2", "part").agg(F.min(place).alias("least"), F.count("*").alias("n"))
