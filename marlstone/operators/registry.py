@@ -18,9 +18,11 @@ class RegistryError(ValueError):
 
 
 def payload_checksum(payload: Column) -> Column:
-    """sha256 of a string map as canonical JSON: keys in order, no spaces."""
+    """sha256 of a string map as canonical JSON: keys in order, no spaces, all but printable ASCII escaped in lower-case hex."""
     ordered = F.map_from_entries(F.array_sort(F.map_entries(payload)))
-    return F.sha2(F.to_json(ordered), 256)
+    escaped = F.replace(F.to_json(ordered, {"writeNonAsciiCharacterAsCodePoint": "true"}), F.lit("\x7f"), F.lit("\\u007f"))
+    parts = F.regexp_extract_all(escaped, F.lit(r"\\u[0-9A-Fa-f]{4}|\\.|[^\\]+"), F.lit(0))
+    return F.sha2(F.array_join(F.transform(parts, lambda x: F.when(x.startswith("\\u"), F.lower(x)).otherwise(x)), ""), 256)
 
 
 def records_of(envelopes: DataFrame, identity: str, batch_id: str) -> DataFrame:

@@ -15,8 +15,8 @@ ENVELOPE = "source_record_id string, natural_key string, payload_sha256 string,
 
 
 def envelope(i, **over):
-    raw = {"b": "2", "a": f"{i} é\""}
-    row = [f"r{i}", f"n{i}", hashlib.sha256(json.dumps(raw, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest(), "accepted", True, raw, raw, [], {"batch_id": "B", "source_identity": "claims", "source_system": "S"}]
+    raw = {"b": "2", "a": f"{i} é😀 \"\\uABCD\x7f\x1f\n/"}
+    row = [f"r{i}", f"n{i}", hashlib.sha256(json.dumps(raw, sort_keys=True, separators=(",", ":")).encode()).hexdigest(), "accepted", True, raw, raw, [], {"batch_id": "B", "source_identity": "claims", "source_system": "S"}]
     names = [x.split()[0] for x in ENVELOPE.split(", ")]
     return tuple(over.get(n, v) for n, v in zip(names, row))
 
