@@ -1,4 +1,4 @@
-"""The ten operators as registered queries, each over its whole table with production parameters."""
+"""The operators as registered queries, each over its whole table with production parameters."""
 
 from __future__ import annotations
 
@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, embed, linededup
+from . import decontam, embed, fillmiddle, hardneg, linededup
 from .decontam import contamination_report
 from .embed import near_duplicates
+from .fillmiddle import fill_in_middle_digest
+from .hardneg import hard_negatives
 from .jaccard import jaccard_components
 from .licenses import scan_licenses
 from .linededup import dedup_lines
@@ -19,6 +21,7 @@ from .pieces import encode_documents
 from .quality import fit_quality_model, quality_scores
 from .secrets import secret_digest
 from .tokencount import token_counts
+from .toxicity import fit_toxicity_model, toxicity_scores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +72,21 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(docs.select("doc_id", path.alias("path"), "text"), ["doc_id"])
 
 
-_ALL = (op1_token_counts, op2_quality, op3_jaccard_join, op4_sentence_pieces, op5_main_text, op6_line_dedup, op7_decontamination, op8_secrets, op9_embedding_dedup, op10_licenses)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A seventh of the rows is filed under the next label, so that near rows of other labels are there to be found."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label=moved)
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity_scores(docs, fit_toxicity_model(docs, table(spark, sf_dir, "labels")))
+
+
+_ALL = (op1_token_counts, op2_quality, op3_jaccard_join, op4_sentence_pieces, op5_main_text, op6_line_dedup, op7_decontamination, op8_secrets, op9_embedding_dedup, op10_licenses, op11_fill_in_middle, op12_hard_negatives, op13_toxicity)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
-ORACLES: dict[str, str] = {"op6_line_dedup": linededup.ORACLE, "op7_decontamination": decontam.ORACLE, "op9_embedding_dedup": embed.ORACLE}
+ORACLES: dict[str, str] = {"op6_line_dedup": linededup.ORACLE, "op7_decontamination": decontam.ORACLE, "op9_embedding_dedup": embed.ORACLE, "op11_fill_in_middle": fillmiddle.ORACLE, "op12_hard_negatives": hardneg.ORACLE}
