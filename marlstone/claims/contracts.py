@@ -303,26 +303,26 @@ class Contract:
             out[f.name] = c
         return rows.withColumns(out)
 
-    def row_issues(self) -> list[Column]:
+    def row_rules(self) -> list[Q.Rule]:
         """Rules that need the row alone: required fields, types, enumerations, patterns and bounds."""
-        issues = []
+        rules = []
         for f in self.fields:
             text = F.col(f.name)
             governed = self.prefix == "REF" and f.name.endswith(("_rate", "_days"))
             rule = "REF-007" if governed else VALUE_RULES.get((self.prefix, f.name), "CMN-014")
             value, blank = S.typed(text, f.kind), F.coalesce(text, F.lit("")) == ""
             if f.required:
-                issues.append(Q.required(f"{self.prefix}-001", f.name))
+                rules.append(Q.Rule(f"{self.prefix}-001", "rejected", f.name, "required", blank))
             if f.kind not in ("STRING", "STRING_LIST"):
-                issues.append(Q.issue("CMN-013", "rejected", f.name, "unparsable", ~blank & value.isNull()))
+                rules.append(Q.Rule("CMN-013", "rejected", f.name, "unparsable", ~blank & value.isNull()))
             if values := f.bound("in"):
-                issues.append(Q.issue(rule, "quarantined", f.name, "not allowed", ~blank & ~text.isin(*values.split(","))))
+                rules.append(Q.Rule(rule, "quarantined", f.name, "not allowed", ~blank & ~text.isin(*values.split(","))))
             if shape := f.bound("like"):
-                issues.append(Q.issue("CMN-014", "quarantined", f.name, "pattern", ~blank & ~text.rlike(shape)))
+                rules.append(Q.Rule("CLN-005" if self.prefix == "CLN" else "CMN-014", "quarantined", f.name, "pattern", ~blank & ~text.rlike(shape)))
             for word, broken in (("from", lambda x: value < x), ("above", lambda x: value <= x), ("to", lambda x: value > x)):
                 if limit := f.bound(word):
-                    issues.append(Q.issue(rule, "quarantined", f.name, f"not {word} {limit}", broken(F.lit(limit).cast("decimal(18,4)"))))
-        return issues
+                    rules.append(Q.Rule(rule, "quarantined", f.name, f"not {word} {limit}", broken(F.lit(limit).cast("decimal(18,4)"))))
+        return rules
 
 
 @cache

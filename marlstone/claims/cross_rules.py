@@ -14,6 +14,8 @@ from .contracts import FRESHNESS, KEYS
 
 #: (identity, rule, field, disposition, rows that break it: row_id)
 Broken = tuple[str, str, str, str, DataFrame]
+#: The rules below by the letters of their source; those of references hold for each of them.
+ACROSS = ("CLM-011", "CLN-004", "ELG-004", "ELG-008", "DEN-005", "DEN-006", "APL-007", "APL-011", "REM-008", "REF-004", "REF-005", "REF-006")
 
 
 def _day(name: str) -> Column:
@@ -26,12 +28,17 @@ def _money(name: str) -> Column:
 
 def overlapping_versions(rows: DataFrame, entity: list[str], row_id: str = "row_id") -> DataFrame:
     """Rows whose interval meets that of another version of the entity: one sort by start, in which a row is held
-    against the latest end before it and the next start, so that no pairs are formed. A null end is open."""
+    against the latest end before it and the next start, so that no pairs are formed. Two meet if each begins before the
+    other ends. A null end is open."""
     end = F.coalesce(_day("valid_to"), F.lit("9999-12-31").cast("date"))
     spans = rows.select(row_id, *entity, _day("valid_from").alias("_from"), end.alias("_to")).filter("_from IS NOT NULL")
+    sound, odd = spans.filter("_to > _from"), spans.filter("_to <= _from")
     order = Window.partitionBy(*entity).orderBy("_from", row_id)
     before, after = F.max("_to").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lead("_from").over(order)
-    return spans.withColumn("_meets", (F.coalesce(before, F.col("_from")) > F.col("_from")) | (F.coalesce(after, F.col("_to")) < F.col("_to"))).filter("_meets").select(row_id)
+    meeting = sound.withColumn("_meets", (F.coalesce(before, F.col("_from")) > F.col("_from")) | (F.coalesce(after, F.col("_to")) < F.col("_to"))).filter("_meets").select(row_id)
+    # the few that end before they begin lie within another or meet nothing; two of them never meet
+    within = odd.select(F.col(row_id).alias("_odd"), *entity, F.col("_from").alias("_a"), F.col("_to").alias("_b")).join(sound, entity).filter("_from < _b AND _a < _to")
+    return meeting.unionByName(within.select(F.explode(F.array("_odd", row_id)).alias(row_id))).distinct()
 
 
 def several_current(rows: DataFrame, entity: list[str], row_id: str = "row_id") -> DataFrame:
@@ -60,6 +67,14 @@ def _pointing(rows: DataFrame, parents: DataFrame, keys: list[tuple[str, str]],
     return active(rows).join(one, on)
 
 
+def uncovered_plans(plans: DataFrame, payers: DataFrame) -> DataFrame:
+    """Active plans whose whole validity does not lie within exactly one active version of their payer."""
+    plan = active(plans).select("row_id", "payer_id", _day("valid_from").alias("_from"), _day("valid_to").alias("_to"))
+    payer = active(payers).select(F.col("payer_id").alias("_payer"), _day("valid_from").alias("_begins"), _day("valid_to").alias("_ends"))
+    holds = (F.col("payer_id") == F.col("_payer")) & (F.col("_begins") <= F.col("_from")) & (F.col("_ends").isNull() | (F.col("_to") <= F.col("_ends")))
+    return plan.join(payer, holds, "left").groupBy("row_id").agg(F.count("_payer").alias("_n")).filter("_n <> 1").select("row_id")
+
+
 def _differs(*names: str) -> Column:
     out = F.lit(False)
     for n in names:
@@ -82,8 +97,17 @@ def parent_rules(frames: dict[str, DataFrame]) -> Iterator[Broken]:
         plan = _pointing(frames["eligibility"], frames["reference-data.plans"], [("plan_id", "plan_id")], ["payer_id"])
         yield "eligibility", "ELG-004", "plan_id", "quarantined", plan.filter(_differs("payer_id")).select("row_id")
     if has("denials", "claims"):
-        denial = _pointing(frames["denials"], frames["claims"], claim_key, ["outstanding_balance"])
+        denial = _pointing(frames["denials"], frames["claims"], claim_key, ["outstanding_balance", "service_from_date", "submitted_at"])
+        submitted = F.to_date(typed(F.col("p_submitted_at"), "TIMESTAMP"))
+        early = F.coalesce(_day("denial_date") < _day("p_service_from_date"), F.lit(False)) | F.coalesce(_day("denial_date") < submitted, F.lit(False))
+        yield "denials", "DEN-005", "denial_date", "quarantined", denial.filter(early).select("row_id")
         yield "denials", "DEN-006", "denied_amount", "quarantined", denial.filter(_money("denied_amount") > _money("p_outstanding_balance")).select("row_id")
+    if has("appeals", "denials"):
+        appeal = _pointing(frames["appeals"], frames["denials"], [("denial_source_system", "source_system"), ("denial_id", "denial_id")], ["appeal_deadline_date", "denied_amount"])
+        yield "appeals", "APL-011", "appeal_deadline_date", "quarantined", appeal.filter(_differs("appeal_deadline_date")).select("row_id")
+        yield "appeals", "APL-007", "requested_amount", "quarantined", appeal.filter(_money("requested_amount") > _money("p_denied_amount")).select("row_id")
+    if has("reference-data.plans", "reference-data.payers"):
+        yield "reference-data.plans", "REF-006", "payer_id", "quarantined", uncovered_plans(frames["reference-data.plans"], frames["reference-data.payers"])
     if has("remittances"):
         undoing = active(frames["remittances"]).filter("remittance_status = 'reversed'")
         undone = _pointing(undoing, frames["remittances"], [("reverses_remittance_source_system", "source_system"), ("reverses_remittance_id", "remittance_id")], ["row_id", "direction", "payer_id", "currency_code", "claim_transaction_count", "total_payment_amount"])

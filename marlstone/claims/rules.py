@@ -8,19 +8,23 @@ from pyspark.sql import functions as F
 from ..functions.scalars import typed
 from ..operators import quality as Q
 from ..operators import windows as W
-from .contracts import KEYS, contracts
+from ..operators.fixpoint import settle
+from ..operators.sets import union_all
+from .catalogue import execution_inventory
+from .contracts import FRESHNESS, KEYS, contracts
 from .cross_rules import batch_freshness, parent_rules, reference_rules, unasked_eligibility
 from .ledger import applied_failures, reversal_failures
 
 R = Q.Relationship
 
 
-def _row_rules(identity: str, evaluated: Column) -> list[Column]:
+def row_rules(identity: str, evaluated: Column) -> list[Q.Rule]:
     kinds = {f.name: f.kind for f in contracts()[identity].fields}
     v = lambda name: typed(F.col(name), kinds[name])
     day = lambda name: F.to_date(v(name))
     has = lambda name: F.coalesce(F.col(name), F.lit("")) != ""
-    bad = lambda rule, field, broken, how="quarantined": Q.issue(rule, how, field, rule, broken)
+    bad = lambda rule, field, broken, how="quarantined": Q.Rule(rule, how, field, rule, broken)
+    whole = lambda rule, fields: bad(rule, fields[0], Q.half_pointer(fields))
     near = lambda name: F.date_diff(v(name), F.to_date(evaluated)).between(0, 7)
     if identity == "claims":
         pointer = ["original_claim_source_system", "original_claim_id", "original_submission_sequence"]
@@ -30,7 +34,7 @@ def _row_rules(identity: str, evaluated: Column) -> list[Column]:
             bad("CLM-006", "billed_amount", v("billed_amount") != v("payer_paid_amount") + v("patient_paid_amount") + v("adjustment_amount") + v("outstanding_balance")),
             bad("CLM-007", "allowed_amount", v("payer_paid_amount") + v("patient_responsibility_amount") > v("allowed_amount")),
             bad("CLM-009", "filing_deadline_date", F.col("claim_status").isin("submitted", "accepted", "rejected", "denied") & ~has("filing_deadline_date")),
-            Q.whole_pointer("CLM-010", pointer),
+            whole("CLM-010", pointer),
             bad("CLM-010", "submission_type", original == has("original_claim_id")),
             bad("CLM-010", "original_submission_sequence", has("original_claim_id") & ((F.col("original_claim_source_system") != F.col("source_system")) | (F.col("original_claim_id") != F.col("claim_id")) | (v("original_submission_sequence") >= v("submission_sequence")))),
             bad("CLM-012", "patient_paid_amount", v("patient_paid_amount") > v("patient_responsibility_amount")),
@@ -54,10 +58,10 @@ def _row_rules(identity: str, evaluated: Column) -> list[Column]:
     if identity == "remittances":
         reversed_ = F.col("remittance_status") == "reversed"
         return [
-            bad("REM-005", "remittance_date", v("remittance_date") > day("received_at")),
+            bad("REM-005", "remittance_date", (v("remittance_date") > day("received_at")) | (F.unix_timestamp(v("received_at")) - F.unix_timestamp(v("remittance_date").cast("timestamp")) > FRESHNESS["remittances"][1] + 86400)),
             bad("REM-007", "direction", F.col("direction") != F.when(reversed_, "debit").otherwise("credit")),
             bad("REM-008", "reverses_remittance_id", reversed_ != has("reverses_remittance_id")),
-            Q.whole_pointer("REM-009", ["reverses_remittance_source_system", "reverses_remittance_id"]),
+            whole("REM-009", ["reverses_remittance_source_system", "reverses_remittance_id"]),
         ]
     if identity == "payments":
         kind = F.col("transaction_type")
@@ -69,15 +73,15 @@ def _row_rules(identity: str, evaluated: Column) -> list[Column]:
             bad("PAY-008", "reverses_payment_id", undoing != has("reverses_payment_id")),
             bad("PAY-010", "posted_at", (F.col("source_system") == "synthetic_billing_spreadsheet") & (F.unix_timestamp(evaluated) - F.unix_timestamp(v("posted_at")) > 7200), "accepted_with_warning"),
             bad("PAY-011", "direction", F.col("direction") != F.when(undoing, "debit").otherwise("credit")),
-            *(Q.whole_pointer("PAY-012", list(pair)) for pair in (("remittance_source_system", "remittance_id"), ("claim_line_number", "claim_line_id"), ("reverses_payment_source_system", "reverses_payment_id"))),
+            *(whole("PAY-012", list(pair)) for pair in (("remittance_source_system", "remittance_id"), ("claim_line_number", "claim_line_id"), ("reverses_payment_source_system", "reverses_payment_id"))),
         ]
     if identity == "denials":
         return [
             bad("DEN-005", "denial_date", v("denial_date") > day("received_at")),
-            bad("DEN-007", "appeal_deadline_date", (v("filing_deadline_date") < v("denial_date")) | (v("appeal_deadline_date") < v("denial_date"))),
+            bad("DEN-007", "appeal_deadline_date", v("denial_date").isNotNull() & (v("filing_deadline_date").isNull() | v("appeal_deadline_date").isNull() | (v("filing_deadline_date") < v("denial_date")) | (v("appeal_deadline_date") < v("denial_date")))),
             bad("DEN-008", "documentation_ready_flag", v("documentation_ready_flag") & has("missing_document_codes")),
             bad("DEN-009", "appeal_deadline_date", (F.col("denial_status") == "open") & near("appeal_deadline_date"), "accepted_with_warning"),
-            Q.whole_pointer("DEN-010", ["claim_line_number", "claim_line_id"]),
+            whole("DEN-010", ["claim_line_number", "claim_line_id"]),
         ]
     if identity == "appeals":
         decided, status = F.col("appeal_status").isin("overturned", "partially_overturned", "upheld"), F.col("appeal_status")
@@ -114,7 +118,7 @@ RELATIONSHIPS = [
     R("payment_reversed", "payments", "payments", (("reverses_payment_source_system", "source_system"), ("reverses_payment_id", "payment_id")), "PAY-008", optional=True),
     R("denial_payer", "denials", "reference-data.payers", (("payer_id", "payer_id"),), "DEN-003", as_of="denial_date"),
     R("denial_reason", "denials", "reference-data.denial-reasons", (("denial_reason_code", "denial_reason_code"), ("denial_category", "denial_category")), "DEN-004", as_of="denial_date"),
-    R("appeal_denial", "appeals", "denials", (("denial_source_system", "source_system"), ("denial_id", "denial_id"), ("claim_source_system", "claim_source_system"), ("claim_id", "claim_id"), ("claim_submission_sequence", "claim_submission_sequence"), ("appeal_deadline_date", "appeal_deadline_date")), "APL-003"),
+    R("appeal_denial", "appeals", "denials", (("denial_source_system", "source_system"), ("denial_id", "denial_id"), ("claim_source_system", "claim_source_system"), ("claim_id", "claim_id"), ("claim_submission_sequence", "claim_submission_sequence")), "APL-003"),
     R("appeal_claim", "appeals", "claims", (("claim_source_system", "source_system"), ("claim_id", "claim_id"), ("claim_submission_sequence", "submission_sequence")), "APL-003"),
 ]
 
@@ -125,51 +129,52 @@ def classify(identity: str, rows: DataFrame, evaluated: Column) -> DataFrame:
     contract = contracts()[identity]
     numbered = rows.withColumn("_copy", W.occurrence(list(KEYS[identity]), *(F.col(c) for c in contract.columns)))
     numbered = numbered.withColumn("row_id", F.sha2(F.to_json(F.array(F.lit(identity), *(F.col(k) for k in KEYS[identity]), F.col("_copy").cast("string"))), 256))
-    repeated = Q.issue(f"{contract.prefix}-002", "rejected", KEYS[identity][-1], "duplicate key", F.col("_copy") > 1)
-    foreign = Q.issue("CMN-001", "rejected", "source_system", "not synthetic", ~F.col("source_system").startswith("synthetic_"))
-    judged = Q.classified(contract.normalised(numbered), [foreign, *contract.row_issues(), repeated, *_row_rules(identity, evaluated)])
+    repeated = Q.Rule(f"{contract.prefix}-002", "rejected", KEYS[identity][-1], "duplicate key", F.col("_copy") > 1)
+    foreign = Q.Rule("CMN-001", "rejected", "source_system", "not synthetic", ~F.col("source_system").startswith("synthetic_"))
+    judged = Q.classified(contract.normalised(numbered), [r.issue for r in (foreign, *contract.row_rules(), repeated, *row_rules(identity, evaluated))])
     return judged.drop("_copy")
 
 
 def evaluate(frames: dict[str, DataFrame], evaluated: Column, keep) -> dict:
-    """Rows, counts, findings and the gate of a batch of all fourteen sources."""
+    """Rows, counts, findings and the gate of a batch of all fourteen sources. Rules and policy are bound before a row is read."""
+    execution_inventory()
     absent = contracts().keys() - frames.keys()
-    judged = {name: keep(classify(name, df, evaluated)) for name, df in frames.items()}
+    judged = {name: keep(classify(name, df, evaluated)) for name, df in frames.items() if name in contracts()}
     declared = [r for r in RELATIONSHIPS if r.source in judged and r.target in judged]
-    judged = _with_broken(judged, reference_rules, keep)
-    judged = Q.settle_relationships(judged, declared, keep)
-    judged = Q.settle_relationships(_with_broken(judged, parent_rules, keep), declared, keep)
+    judged, _ = marked(judged, reference_rules(judged), keep)
+    judged = settle(judged, declared, keep)
+    judged, lost = marked(judged, parent_rules(judged), keep)
+    judged = settle(judged, declared, keep, lost)
     if {"payments", "claims", "claim-lines"} <= judged.keys():
-        broken = [("PAY-008", "reverses_payment_id", reversal_failures(judged["payments"])), ("PAY-009", "amount", applied_failures(judged["payments"], judged["claims"], judged["claim-lines"]))]
-        for rule, field, failed in broken:
-            judged["payments"] = keep(Q.with_issue(judged["payments"], failed, rule, field, rule))
-        judged = Q.settle_relationships(judged, declared, keep)
-    judged = _with_broken(judged, unasked_eligibility, keep)
-    every = _union([df.select(F.lit(n).alias("identity"), "row_id", "issues", "disposition") for n, df in judged.items()])
+        broken = [("payments", "PAY-008", "reverses_payment_id", "quarantined", reversal_failures(judged["payments"])), ("payments", "PAY-009", "amount", "quarantined", applied_failures(judged["payments"], judged["claims"], judged["claim-lines"]))]
+        judged, lost = marked(judged, broken, keep)
+        judged = settle(judged, declared, keep, lost)
+    judged, _ = marked(judged, unasked_eligibility(judged), keep)
+    every = union_all([df.select(F.lit(n).alias("identity"), "row_id", "issues", "disposition") for n, df in judged.items()])
     findings = every.filter("disposition = 'rejected'").select(F.lit("CMN-016").alias("rule_id"), "identity").distinct()
     if "remittances" in judged and "payments" in judged:
         findings = findings.unionByName(remittance_control(judged["remittances"], judged["payments"]).select(F.lit("REM-006").alias("rule_id"), F.lit("remittances").alias("identity")).distinct())
-    for name in sorted(absent):
+    for name in sorted(absent) + sorted(frames.keys() - contracts().keys()):
         findings = findings.unionByName(every.sparkSession.createDataFrame([("REF-008", name)], "rule_id string, identity string"))
     counts = Q.disposition_counts(every, "identity")
     return {"rows": judged, "counts": counts, "issues": Q.issue_distribution(every), "findings": findings, "freshness": batch_freshness(judged, evaluated), **Q.gate(counts, findings)}
 
 
-def _with_broken(judged: dict[str, DataFrame], rules, keep) -> dict[str, DataFrame]:
-    """``judged`` with an issue on the rows that ``rules`` find, all of them found before any is marked."""
-    found = [(identity, rule, field, how, failed) for identity, rule, field, how, failed in rules(judged)]
-    after = dict(judged)
-    for identity, rule, field, how, failed in found:
-        failed = keep(failed)
-        if not failed.isEmpty():
-            after[identity] = keep(Q.with_issue(after[identity], failed, rule, field, rule, how))
-    return after
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    from ..operators.sets import union_all
-
-    return union_all(frames)
+def marked(judged: dict[str, DataFrame], broken, keep) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """``judged`` with an issue on the rows that each rule of ``broken`` found, all found before any is marked; and the rows of
+    each source that were active and no longer are. One union and one join for each source."""
+    by: dict[str, list[DataFrame]] = {}
+    for place, (identity, rule, field, how, failed) in enumerate(broken):
+        says = {"rule_id": rule, "disposition": how, "field": field, "reason": rule}
+        by.setdefault(identity, []).append(failed.select("row_id", *(F.lit(v).alias(k) for k, v in says.items()), F.lit(place).alias("place")))
+    after, lost = dict(judged), {}
+    for identity, found in by.items():
+        new = keep(union_all(found))
+        if not new.isEmpty():
+            blocked = new.filter(~F.col("disposition").isin(*Q.DISPOSITIONS[:2])).select("row_id").distinct()
+            lost[identity] = Q.active(judged[identity]).select("row_id").join(blocked, "row_id", "left_semi")
+            after[identity] = keep(Q.with_issues(judged[identity], new))
+    return after, lost
 
 
 def remittance_control(remittances: DataFrame, payments: DataFrame) -> DataFrame:

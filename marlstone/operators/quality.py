@@ -14,6 +14,21 @@ DISPOSITIONS = ("accepted", "accepted_with_warning", "quarantined", "rejected")
 ISSUE = "struct<rule_id:string,disposition:string,field:string,reason:string>"
 
 
+@dataclass(frozen=True)
+class Rule:
+    """A condition under its id, known before any row is read."""
+
+    rule_id: str
+    disposition: str
+    field: str
+    reason: str
+    broken: Column
+
+    @property
+    def issue(self) -> Column:
+        return issue(self.rule_id, self.disposition, self.field, self.reason, self.broken)
+
+
 def issue(rule_id: str, disposition: str, field: str, reason: str, broken: Column) -> Column:
     """An issue where ``broken`` is true, else null (an unknown condition is not broken)."""
     return F.when(broken, F.struct(F.lit(rule_id).alias("rule_id"), F.lit(disposition).alias("disposition"), F.lit(field).alias("field"), F.lit(reason).alias("reason")))
@@ -46,8 +61,12 @@ def in_order(rule_id: str, first: str, then: str, disposition: str = "quarantine
 
 def whole_pointer(rule_id: str, fields: list[str], disposition: str = "quarantined") -> Column:
     """All parts of a pointer, or none."""
+    return issue(rule_id, disposition, fields[0], "half pointer", half_pointer(fields))
+
+
+def half_pointer(fields: list[str]) -> Column:
     there = sum(F.when(F.coalesce(F.col(f).cast("string"), F.lit("")) != "", 1).otherwise(0) for f in fields)
-    return issue(rule_id, disposition, fields[0], "half pointer", (there > 0) & (there < len(fields)))
+    return (there > 0) & (there < len(fields))
 
 
 def balances(rule_id: str, whole: str, parts: list[str], disposition: str = "quarantined") -> Column:
@@ -121,20 +140,14 @@ def with_issue(rows: DataFrame, failed: DataFrame, rule_id: str, field: str, rea
     return hit.withColumn("issues", issues).withColumn("disposition", gravest(F.col("issues"))).drop("_failed")
 
 
-def settle_relationships(frames: dict[str, DataFrame], specs: list[Relationship], keep, rounds: int = 15) -> dict[str, DataFrame]:
-    """Quarantines failing rows until nothing changes. Identities are taken in the order given (targets first), so one
-    pass settles everything but self edges; ``keep`` cuts the lineage of a frame after each change."""
-    for _ in range(rounds):
-        changed = False
-        for spec in specs:
-            failed = keep(relationship_failures(frames[spec.source], frames[spec.target], spec))
-            if failed.isEmpty():
-                continue
-            changed = True
-            frames[spec.source] = keep(with_issue(frames[spec.source], failed, spec.rule_id, spec.name, "unresolved"))
-        if not changed:
-            return frames
-    raise RuntimeError(f"relationships did not settle in {rounds} rounds")
+def with_issues(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` with all issues of ``found`` (row_id, rule_id, disposition, field, reason, place) in the order of ``place``, by
+    one join however many rules there are."""
+    new = F.struct("rule_id", "disposition", "field", "reason").alias("issue")
+    listed = found.groupBy("row_id").agg(F.array_sort(F.collect_set(F.struct("place", new))).alias("_new"))
+    added = F.transform(F.coalesce("_new", F.array().cast(f"array<struct<place:int,issue:{ISSUE}>>")), lambda x: x["issue"])
+    hit = rows.join(listed, "row_id", "left").withColumn("issues", F.concat("issues", added))
+    return hit.withColumn("disposition", gravest(F.col("issues"))).drop("_new")
 
 
 def disposition_counts(rows: DataFrame, by: str) -> DataFrame:

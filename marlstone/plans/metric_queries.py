@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from ..operators import publication as P
 from . import metrics as M
+from ..operators.compaction import compact, resolve
+from ..sources.files import shared_checkpoint, shared_folder
 from .registry import query
 
 
@@ -60,19 +64,19 @@ def metric_sum_or_zero(t):
     return M.sum_or_zero(t.events.filter((F.col("event_type") == "purchase") & (F.col("ts") >= "2030-01-01")), F.col("value"))
 
 
-#: Days of January are publications; each event is a change of its user, an error a removal.
-_DELTAS_SQL = "(SELECT 'p' || CAST(day(ts) AS VARCHAR) AS publication_id, 'user' AS relation, CAST(user_id AS VARCHAR) AS key, event_id AS sequence, CASE WHEN event_type <> 'error' THEN md5(CAST(event_id AS VARCHAR)) END AS content, CAST(day(ts) - 1 AS BIGINT) AS chain_position FROM events WHERE day(ts) <= 9)"
+#: Every four days of events are a publication; each event is a change of its user, an error a removal.
+_DELTAS_SQL = "(SELECT 'p' || CAST((day(ts) - 1) // 4 AS VARCHAR) AS publication_id, 'user' AS relation, CAST(user_id AS VARCHAR) AS key, event_id AS sequence, CASE WHEN event_type <> 'error' THEN md5(CAST(event_id AS VARCHAR)) END AS content, CAST((day(ts) - 1) // 4 AS BIGINT) AS chain_position FROM events)"
 
 
 def _deltas(t):
-    day = F.day("ts")
-    return t.events.filter(day <= 9).select(F.concat(F.lit("p"), day.cast("string")).alias("publication_id"), F.lit("user").alias("relation"), F.col("user_id").cast("string").alias("key"), F.col("event_id").alias("sequence"), F.when(F.col("event_type") != "error", F.md5(F.col("event_id").cast("string"))).alias("content"))
+    place = F.floor((F.day("ts") - 1) / 4).cast("string")
+    return t.events.select(F.concat(F.lit("p"), place).alias("publication_id"), F.lit("user").alias("relation"), F.col("user_id").cast("string").alias("key"), F.col("event_id").alias("sequence"), F.when(F.col("event_type") != "error", F.md5(F.col("event_id").cast("string"))).alias("content"))
 
 
 @query(f"SELECT publication_id, relation, key, content FROM (SELECT *, row_number() OVER (PARTITION BY relation, key ORDER BY chain_position DESC, sequence DESC) AS r FROM {_DELTAS_SQL}) WHERE r = 1 AND content IS NOT NULL")
 def active_membership(t):
     deltas = _deltas(t)
-    chain = deltas.select("publication_id").distinct().withColumn("chain_position", F.substring("publication_id", 2, 9).cast("bigint") - 1)
+    chain = deltas.select("publication_id").distinct().withColumn("chain_position", F.substring("publication_id", 2, 9).cast("bigint"))
     return P.active_membership(deltas, chain).select("publication_id", "relation", "key", "content")
 
 
@@ -81,6 +85,16 @@ def inventory_commitment(t):
     return P.inventory_commitment(active_membership(t))
 
 
+@query(f"SELECT publication_id, relation, key, content FROM (SELECT *, row_number() OVER (PARTITION BY relation, key ORDER BY chain_position DESC, sequence DESC) AS r FROM {_DELTAS_SQL}) WHERE r = 1 AND content IS NOT NULL")
+def membership_after_compaction(t):
+    """All publications but the last two are folded into a base, in two compactions; the rest is merged when it is read."""
+    placed = shared_checkpoint(_deltas(t).withColumn("chain_position", F.substring("publication_id", 2, 9).cast("bigint")))
+    folder = f"{shared_folder(t.spark)}/membership-{uuid4().hex}"
+    for at in (F.col("chain_position") < 3, F.col("chain_position").between(3, 5)):
+        compact(t.spark, folder, placed.filter(at))
+    return resolve(t.spark, folder, placed.filter("chain_position > 5"))
+
+
 @query("""SELECT publication_id, defect FROM (SELECT 'p' || n_nationkey AS publication_id, unnest([CASE WHEN n_nationkey % 10 = 0 AND n_nationkey > 0 THEN 'base not first' END, CASE WHEN n_nationkey % 10 <> 0 AND n_nationkey % 7 = 0 THEN 'delta without parent' END, CASE WHEN n_nationkey > 8 THEN 'chain too long' END]) AS defect FROM nation) WHERE defect IS NOT NULL""")
 def publication_chain_integrity(t):
     k = F.col("n_nationkey")

@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
+from ..operators.fixpoint import settle
 from .registry import query
 
 _LINES = "SELECT l_orderkey, l_linenumber, l_partkey, {} FROM lineitem"
@@ -115,7 +116,7 @@ def relationship_fixpoint(t):
     rows = Q.classified(t.orders.select(k.alias("row_id"), k, F.when(k % 10 != 0, k - 1).alias("parent")), [bad])
     edge = Q.Relationship("previous_order", "orders", "orders", (("parent", "o_orderkey"),), "R-010", optional=True)
     keep = _kept(t.spark)
-    settled = Q.settle_relationships({"orders": keep(rows)}, [edge], keep)["orders"]
+    settled = settle({"orders": keep(rows)}, [edge], keep)["orders"]
     return settled.filter("disposition = 'quarantined'").select("row_id", "disposition")
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import shutil
 import tempfile
 from pathlib import Path
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,14 +19,31 @@ class DeliveryError(ValueError):
     """A delivery that must not be read further."""
 
 
-def shared_checkpoint(df: DataFrame) -> DataFrame:
-    """``df`` as files in the checkpoint folder that the session names; one of our own only where it names none."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that the session names. Only where all tasks run in this process, as in tests, may it name none."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local(\[|$)", context.master):
+            raise DeliveryError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def shared_checkpoint(df: DataFrame) -> DataFrame:
+    """``df`` as files in the shared checkpoint folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def shared_table(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared checkpoint folder. For loops: a checkpoint keeps the size that was estimated for its
+    plan, which joins multiply from round to round, and a table has the size of its files."""
+    at = f"{shared_folder(df.sparkSession)}/table-{uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
 def read_contract_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """All-text rows under a fixed header; a ragged row or another header stops the read. Empty text stays empty."""
     header = spark.read.text(path).limit(1).collect()

@@ -148,3 +148,55 @@ def test_overlapping_versions_by_one_sort(spark):
     spans = [("a", 1, "2020-01-01", "2020-12-31"), ("a", 2, "2020-12-31", ""), ("b", 3, "2020-01-01", ""), ("b", 4, "2020-03-01", "2020-04-01"), ("b", 5, "2021-01-01", "2021-02-01"), ("c", 6, "2020-01-01", "2020-02-01"), ("c", 7, "2020-01-01", "2020-02-01"), ("d", 8, "", "")]
     df = spark.createDataFrame(spans, "e string, row_id int, valid_from string, valid_to string")
     assert {r[0] for r in overlapping_versions(df, ["e"]).collect()} == {3, 4, 5, 6, 7}
+
+
+def test_every_governed_rule_is_executed_somewhere(spark, monkeypatch):
+    from marlstone.claims import catalogue
+
+    found = catalogue.execution_inventory()
+    sizes = {c: len(p) for c, p in found.items()}
+    assert sum(sizes.values()) == 131 == len({p for pairs in found.values() for p in pairs}) and all(sizes.values())
+    assert (sizes["not_applicable"], sizes["boundary"], sizes["batch"], sizes["reverified"]) == (11, 1, 7, 49)
+    assert ("claims", "CLM-004") in found["relationship"] and ("appeals", "APL-011") in found["semantic"] and ("appeals", "APL-010") in found["boundary"]
+    for lost in ("claim_payer", "plan_payer", "remittance_reversed"):
+        with pytest.raises(catalogue.CatalogueError):
+            catalogue.execution_inventory([r for r in rules.RELATIONSHIPS if r.name != lost] if lost != "claim_payer" else [r for r in rules.RELATIONSHIPS if r.target != "reference-data.payers" or r.source != "claims"])
+    for rule in ("DEN-005", "REF-006", "APL-011", "PAY-009"):
+        kept = tuple(r for r in (*catalogue.ACROSS, *catalogue.SUMS) if r != rule)
+        with monkeypatch.context() as m:
+            m.setattr(catalogue, "ACROSS", kept), m.setattr(catalogue, "SUMS", ())
+            built = rule in ("DEN-005", "REF-006")  # half of them are judged by the row or the relationship alone
+            if not built:
+                with pytest.raises(catalogue.CatalogueError):
+                    catalogue.execution_inventory()
+    with monkeypatch.context() as m:
+        m.setattr(catalogue, "POLICY", catalogue.POLICY.replace("appeals claims APL-003\n", ""))
+        with pytest.raises(catalogue.CatalogueError):
+            catalogue.execution_inventory()
+
+
+def test_halves_of_rules(month):
+    """Each rule half by a mutation of one row, under its own id."""
+    frames = dict(month)
+    first = lambda n, key, k=2, where="true": [r[0] for r in frames[n].filter(where).select(key).distinct().orderBy(key).take(k)]
+    denials, appeals, remits, lines, payers = first("denials", "denial_id", 3), first("appeals", "appeal_id", 2), first("remittances", "remittance_id", 1), first("claim-lines", "claim_line_id", 2), first("reference-data.payers", "payer_id", 1)
+    held = {r.appeal_id: r.denial_id for r in frames["appeals"].collect()}
+    free = [d for d in denials if d not in {held[a] for a in appeals}]
+    frames["denials"] = change(change(frames["denials"], "denial_id", free[0], denial_date="2026-06-01"), "denial_id", free[-1], appeal_deadline_date="")
+    frames["appeals"] = change(change(frames["appeals"], "appeal_id", appeals[0], appeal_deadline_date="2026-12-31"), "appeal_id", appeals[1], requested_amount="9999999.00")
+    frames["remittances"] = change(frames["remittances"], "remittance_id", remits[0], remittance_date="2026-01-01")
+    frames["claim-lines"] = change(change(frames["claim-lines"], "claim_line_id", lines[0], place_of_service_code="x1"), "claim_line_id", lines[1], revenue_code="12")
+    frames["reference-data.payers"] = change(frames["reference-data.payers"], "payer_id", payers[0], valid_to="2026-12-31")
+    result = rules.evaluate(frames, evaluated(), shared_checkpoint)
+    got = {n: {(r[key], i.rule_id) for r in result["rows"][n].collect() for i in r.issues} for n, key in (("denials", "denial_id"), ("appeals", "appeal_id"), ("remittances", "remittance_id"), ("claim-lines", "claim_line_id"), ("reference-data.plans", "payer_id"))}
+    assert (free[0], "DEN-005") in got["denials"]
+    assert len(free) < 2 or (free[-1], "DEN-007") in got["denials"]
+    assert (appeals[0], "APL-011") in got["appeals"] and (appeals[0], "APL-003") not in got["appeals"] and (appeals[1], "APL-007") in got["appeals"]
+    assert (remits[0], "REM-005") in got["remittances"]
+    assert {(lines[0], "CLN-005"), (lines[1], "CLN-005")} <= got["claim-lines"]
+    assert (payers[0], "REF-006") in got["reference-data.plans"]
+
+
+def test_unknown_source_blocks(month):
+    result = rules.evaluate({**month, "strays": month["appeals"]}, evaluated(), shared_checkpoint)
+    assert ("REF-008", "strays") in {tuple(r) for r in result["findings"].collect()} and not result["publication_allowed"]
