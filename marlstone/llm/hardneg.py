@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shipping import checkpointed, ship
+from .shipping import ship, written
 
 #: Rows and anchors of a block; windows whose scores a task holds at a time; bits of a digit.
 BLOCK_ROWS = 4096
@@ -71,12 +71,12 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
             yield _block(kept)
 
     ordered = rows.select(F.size("v").alias("dim"), "label", "id", "v").repartitionByRange(tasks, "dim", "label", "id").sortWithinPartitions("dim", "label", "id").coalesce(tasks)
-    made = checkpointed(ordered.mapInArrow(pack, BLOCK).withColumn("at", F.monotonically_increasing_id()))
+    made = written(ordered.mapInArrow(pack, BLOCK).withColumn("at", F.monotonically_increasing_id()))
     # number of a block: blocks of the parts before its own, and its place there; one row a part is put in order
     part = F.shiftright("at", 33)
     before = made.groupBy(part.alias("part")).agg(F.count("*").alias("c")).withColumn("before", F.sum("c").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
     numbered = made.withColumn("part", part).join(before, "part").withColumn("block", F.coalesce("before", F.lit(0)) + F.col("at") - F.shiftleft("part", 33))
-    return checkpointed(numbered.select("block", "dim", "n", "ids", "labels", "x"))
+    return written(numbered.select("block", "dim", "n", "ids", "labels", "x"))
 
 
 def _block(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -104,12 +104,12 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(exact, -FAR, FAR).astype(np.int64)
 
 
-def _met(same: bool, gather: bool, left: pa.Table, right: pa.Table) -> pa.Table:
+def _met(same: bool, gather: bool, bits: int, left: pa.Table, right: pa.Table) -> pa.Table:
     """What the windows of one block of anchors find in one block of rows: (wid, bucket, n) of the head of each histogram,
     or, at the end, (wid, id, score) of the rows that qualify."""
     names = ["wid", "id", "score"] if gather else ["wid", "bucket", "n"]
     found: list[tuple[np.ndarray, ...]] = []
-    if len(left) and len(right):
+    if len(left) and len(right) and left.column("a_dim")[0] == right.column("r_dim")[0]:
         a_ids, a_labels, a = _opened(left, "a")
         ids, labels, x = _opened(right, "r")
         asked = left.column("windows").combine_chunks().flatten()
@@ -129,7 +129,7 @@ def _met(same: bool, gather: bool, left: pa.Table, right: pa.Table) -> pa.Table:
             fits &= (score >= v["lo"]) & (score <= v["hi"]) & (~v["by_id"] | ((ids[None] >= v["ilo"]) & (ids[None] <= v["ihi"])))
             r, c = np.nonzero(fits)
             distance = np.where(v["by_id"][r, 0], ids[c] - v["ilo"][r, 0], v["hi"][r, 0] - score[r, c])
-            counts = np.bincount((r << DIGIT_BITS) + (distance >> v["shift"][r, 0]), minlength=len(of) << DIGIT_BITS).reshape(len(of), -1)
+            counts = np.bincount((r << bits) + (distance >> v["shift"][r, 0]), minlength=len(of) << bits).reshape(len(of), -1)
             r, c = np.nonzero((counts > 0) & (np.cumsum(counts, axis=1) - counts < v["need"]))
             found.append((v["wid"][r, 0], c, counts[r, c]))
     columns = [np.concatenate(c) if found else np.zeros(0) for c in (zip(*found) if found else [()] * 3)]
@@ -146,12 +146,12 @@ def _pairs(anchors: DataFrame, rows: DataFrame, same: bool) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), k)), pa.array(np.full(len(some), d), pa.int32()), pa.array(some)], names=["block", "dim", "label"])
 
         of = lambda df, name: df.select("block", "dim", "labels").mapInArrow(listed, "block bigint, dim int, label bigint").withColumnRenamed("block", name)
-        return checkpointed(of(anchors, "i").join(of(rows, "j"), ["dim", "label"]).select("i", "j").distinct())
+        return written(of(anchors, "i").join(of(rows, "j"), ["dim", "label"]).select("i", "j").distinct())
     last = F.lit(max(0, rows.count() - 1)).cast("bigint")
-    return checkpointed(anchors.select(F.col("block").alias("i"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("j")))
+    return written(anchors.select(F.col("block").alias("i"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("j")))
 
 
-def _meet(anchors: DataFrame, rows: DataFrame, pairs: DataFrame, windows: DataFrame, same: bool, gather: bool) -> DataFrame:
+def _meet(anchors: DataFrame, rows: DataFrame, pairs: DataFrame, windows: DataFrame, same: bool, gather: bool, bits: int) -> DataFrame:
     side = lambda df, s: df.select("block", *(F.col(c).alias(f"{s}_{c}") for c in ("dim", "n", "ids", "labels", "x")))
     fields = ("wid", "slot", "low", "high", "lo", "hi", "ilo", "ihi", "by_id", "shift", "need")
     asked = windows.groupBy("block").agg(F.collect_list(F.struct(*fields)).alias("windows"))  # a block's anchors, k each: bounded
@@ -159,22 +159,22 @@ def _meet(anchors: DataFrame, rows: DataFrame, pairs: DataFrame, windows: DataFr
     wanted = pairs.join(asked.select(F.col("block").alias("i")), "i", "left_semi")
     right = side(rows, "r").join(wanted.withColumnRenamed("j", "block"), "block").withColumnRenamed("block", "j")
     schema = "wid bigint, id bigint, score bigint" if gather else "wid bigint, bucket bigint, n bigint"
-    return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(partial(_met, same, gather), schema)
+    return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(partial(_met, same, gather, bits), schema)
 
 
-def _shift() -> Column:
+def _shift(bits: int) -> Column:
     """Bits below the leading digit of what is left of a window."""
-    return F.greatest(F.length(F.bin(F.when(F.col("by_id"), F.col("ihi") - F.col("ilo")).otherwise(F.col("hi") - F.col("lo")))) - DIGIT_BITS, F.lit(0)).cast("int")
+    return F.greatest(F.length(F.bin(F.when(F.col("by_id"), F.col("ihi") - F.col("ilo")).otherwise(F.col("hi") - F.col("lo")))) - bits, F.lit(0)).cast("int")
 
 
-def select_top(anchors: DataFrame, rows: DataFrame, windows: DataFrame, same: bool, ids: tuple[int, int]) -> DataFrame:
+def select_top(anchors: DataFrame, rows: DataFrame, windows: DataFrame, same: bool, ids: tuple[int, int], bits: int = DIGIT_BITS) -> DataFrame:
     """(wid, id, score) of the ``need`` best rows of each window (wid, block, slot, low, high, need): of rows of the anchor's
     label (``same``), else of the others. ``ids`` are the least and the greatest id."""
     pairs = _pairs(anchors, rows, same)
     start = windows.select("wid", "block", "slot", "low", "high", "need", F.col("low").alias("lo"), F.col("high").alias("hi"), F.lit(ids[0]).cast("bigint").alias("ilo"), F.lit(ids[1]).cast("bigint").alias("ihi"), F.lit(False).alias("by_id"), F.lit(False).alias("done"))
-    state = checkpointed(start.withColumn("shift", _shift()))
+    state = written(start.withColumn("shift", _shift(bits)))
     while not (open_ := state.filter("NOT done")).isEmpty():
-        counted = _meet(anchors, rows, pairs, open_, same, False).groupBy("wid", "bucket").agg(F.sum("n").alias("n"))
+        counted = _meet(anchors, rows, pairs, open_, same, False, bits).groupBy("wid", "bucket").agg(F.sum("n").alias("n"))
         passed = counted.withColumn("upto", F.sum("n").over(Window.partitionBy("wid").orderBy("bucket")))
         hit = passed.join(open_.select("wid", "need"), "wid").filter("upto >= need AND upto - n < need").drop("need")
         step = state.join(hit, "wid", "left").withColumns({"here": F.expr("shiftleft(bucket, shift)"), "last": F.expr("shiftleft(bucket + 1, shift) - 1")})
@@ -189,19 +189,19 @@ def select_top(anchors: DataFrame, rows: DataFrame, windows: DataFrame, same: bo
             "by_id": by_id | tied,
             "done": F.col("done") | ~held | exact,  # a window with too few rows keeps them all
         }
-        state = checkpointed(step.select("wid", "block", "slot", "low", "high", *(c.alias(n) for n, c in after.items())).withColumn("shift", _shift()))
-    return checkpointed(_meet(anchors, rows, pairs, state, same, True))
+        state = written(step.select("wid", "block", "slot", "low", "high", *(c.alias(n) for n, c in after.items())).withColumn("shift", _shift(bits)))
+    return written(_meet(anchors, rows, pairs, state, same, True, bits))
 
 
-def hard_negatives(vectors: DataFrame, anchors: Column, id_col: str = "vec_id", label: Column | None = None, vector_col: str = "embedding", n_positives: int = 5, n_negatives: int = 3, low: int = 50, high: int = 95, scale: int = SCALE) -> DataFrame:
+def hard_negatives(vectors: DataFrame, anchors: Column, id_col: str = "vec_id", label: Column | None = None, vector_col: str = "embedding", n_positives: int = 5, n_negatives: int = 3, low: int = 50, high: int = 95, scale: int = SCALE, block_rows: int = BLOCK_ROWS, block_anchors: int = BLOCK_ANCHORS, digit_bits: int = DIGIT_BITS) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score): for each anchor (rows where ``anchors``, a
     condition on ``id``, holds) its ``n_positives`` nearest other rows of the label, and for each of them the ``n_negatives``
     best rows of other labels whose score is ``low`` to ``high`` hundredths of the positive's."""
     ship(vectors.sparkSession)
-    rows = checkpointed(usable_vectors(vectors, id_col, F.col("label") if label is None else label, vector_col, scale))
+    rows = written(usable_vectors(vectors, id_col, F.col("label") if label is None else label, vector_col, scale))
     edge = rows.agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))).alias("square")).first()
-    row_blocks = _blocks(rows, BLOCK_ROWS)
-    anchor_blocks = _blocks(rows.filter(anchors), BLOCK_ANCHORS)
+    row_blocks = _blocks(rows, block_rows)
+    anchor_blocks = _blocks(rows.filter(anchors), block_anchors)
 
     def opened(batches):
         for batch in batches:
@@ -211,16 +211,16 @@ def hard_negatives(vectors: DataFrame, anchors: Column, id_col: str = "vec_id",
 
     slots = anchor_blocks.select("block", "dim", "n", "ids", "x").mapInArrow(opened, "block bigint, slot bigint, anchor_id bigint, size double")
     # no score is beyond the product of the lengths
-    reach = F.least(F.ceil(F.col("size") * float(np.sqrt(edge["square"] or 0.0)) * (1 + 1e-9)) + 1, F.lit(FAR)).cast("bigint")
-    near = slots.select((F.col("block") * BLOCK_ANCHORS + F.col("slot")).alias("wid"), "block", "slot", "anchor_id", (-reach).alias("low"), reach.alias("high"), F.lit(n_positives).cast("bigint").alias("need"))
+    reach = (F.ceil(F.least(F.col("size") * float(np.sqrt(edge["square"] or 0.0)) * (1 + 1e-9), F.lit(float(FAR)))) + 1).cast("bigint")
+    near = slots.select((F.col("block") * block_anchors + F.col("slot")).alias("wid"), "block", "slot", "anchor_id", (-reach).alias("low"), reach.alias("high"), F.lit(n_positives).cast("bigint").alias("need"))
     ids = (edge["a"] or 0, edge["b"] or 0)
-    positives = select_top(anchor_blocks, row_blocks, near, True, ids).withColumnRenamed("id", "positive_id").withColumnRenamed("score", "p")
+    positives = select_top(anchor_blocks, row_blocks, near, True, ids, digit_bits).withColumnRenamed("id", "positive_id").withColumnRenamed("score", "p")
     found = positives.join(near.select("wid", "block", "slot", "anchor_id"), "wid")
     place = F.row_number().over(Window.partitionBy("wid").orderBy(F.desc("p"), "positive_id"))
     share = lambda percent, more: F.expr(f"p div 100 * {percent} + (p % 100 * {percent} + {more}) div 100")
     spans = found.select((F.col("wid") * n_positives + place - 1).alias("wid"), "block", "slot", "anchor_id", "positive_id", "p", share(low, 99).alias("low"), share(high, 0).alias("high"), F.lit(n_negatives).cast("bigint").alias("need"))
-    spans = checkpointed(spans.filter("p >= 0 AND low <= high"))  # of a negative score the larger share is the smaller number
-    negatives = select_top(anchor_blocks, row_blocks, spans, False, ids)
+    spans = written(spans.filter("p >= 0 AND low <= high"))  # of a negative score the larger share is the smaller number
+    negatives = select_top(anchor_blocks, row_blocks, spans, False, ids, digit_bits)
     rank = F.row_number().over(Window.partitionBy("wid").orderBy(F.desc("score"), "id"))
     return negatives.join(spans.select("wid", "anchor_id", "positive_id", "p"), "wid").select("anchor_id", "positive_id", rank.cast("int").alias("rank"), F.col("id").alias("negative_id"), F.col("p").alias("positive_score"), F.col("score").alias("negative_score"))
 

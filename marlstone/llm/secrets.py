@@ -20,6 +20,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -74,10 +75,14 @@ def _element(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     return (tag, at, at + size) if at + size <= end else None
 
 
+#: Elements of the largest key layout (an RSA key of several primes), and fields of the largest key blob.
+MOST_ELEMENTS, MOST_FIELDS = 10, 64
+
+
 def _children(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
     out = []
     while at < end:
-        if (one := _element(data, at, end)) is None:
+        if len(out) == MOST_ELEMENTS or (one := _element(data, at, end)) is None:
             return None
         out.append(one)
         at = one[2]
@@ -99,7 +104,7 @@ def is_der_key(data: bytes) -> bool:
         return True  # RSA public key
     if tags[:3] == [0x02, 0x30, 0x04] and (ids := _children(data, *inside[1][1:])) and ids[0][0] == 0x06:
         return True  # wrapped private key
-    if tags[:2] == [0x02, 0x04] and data[inside[0][1] : inside[0][2]] == b"\x01" and big(inside[1]) and all(t in (0xA0, 0xA1) for t in tags[2:]):
+    if tags[:2] == [0x02, 0x04] and inside[0][2] - inside[0][1] == 1 and data[inside[0][1]] == 1 and big(inside[1]) and all(t in (0xA0, 0xA1) for t in tags[2:]):
         return True  # elliptic-curve private key
     if tags == [0x30, 0x03] and (ids := _children(data, *inside[0][1:])) and ids[0][0] == 0x06 and big(inside[1]):
         return True  # wrapped public key
@@ -110,26 +115,28 @@ def is_ssh_key(data: bytes) -> bool:
     """The container of a private key, or a public key whose fields fill the data."""
     magic = b"openssh-key-v1\0"
     private = data.startswith(magic)
-    at, fields = len(magic) if private else 0, []
+    at, n, name = len(magic) if private else 0, 0, b""
     while at < len(data):
-        if at + 4 > len(data):
+        if at + 4 > len(data) or n == MOST_FIELDS:
             return False
         size = int.from_bytes(data[at : at + 4], "big")
-        if private and len(fields) == 3:  # the number of keys, not a length
+        if private and n == 3:  # the number of keys, not a length
             return 1 <= size <= 16 and _fields_fit(data, at + 4)
         if at + 4 + size > len(data):
             return False
-        fields.append(data[at + 4 : at + 4 + size])
-        at += 4 + size
-    names = (b"ssh-", b"ecdsa-sha2-", b"sk-ssh-", b"sk-ecdsa-")
-    return not private and len(fields) >= 2 and fields[0].startswith(names) and len(fields[0]) < 64
+        if n == 0 and not private:
+            if size >= 64:
+                return False
+            name = data[at + 4 : at + 4 + size]
+        at, n = at + 4 + size, n + 1
+    return not private and n >= 2 and name.startswith((b"ssh-", b"ecdsa-sha2-", b"sk-ssh-", b"sk-ecdsa-"))
 
 
 def _fields_fit(data: bytes, at: int) -> bool:
     n = 0
     while at < len(data):
         size = int.from_bytes(data[at : at + 4], "big")
-        if at + 4 > len(data) or at + 4 + size > len(data):
+        if at + 4 > len(data) or at + 4 + size > len(data) or n == MOST_FIELDS:
             return False
         at, n = at + 4 + size, n + 1
     return n >= 2
@@ -163,7 +170,7 @@ SSH_FIELDS = ((b"ssh-rsa", 3), (b"ssh-dss", 5), (b"ecdsa-sha2-", 3), (b"sk-ssh-"
 
 
 def _key_size(data: bytes) -> int:
-    """Least length of the key that ``data`` begins, as far as it tells; 0 if it begins none."""
+    """Length of the key that ``data`` begins, or one beyond ``data`` that it has at least; 0 if it begins none."""
     if data[:1] == b"\x30" and len(data) > 5:
         n = data[1] & 0x7F
         if data[1] < 0x80:
@@ -189,31 +196,64 @@ def _key_size(data: bytes) -> int:
     return at
 
 
-def _unwrapped(lines: list[str], hexed: bool) -> bytes:
-    """Bytes of all lines, without what is left of an unfinished one."""
-    run = "".join(lines)
-    return bytes.fromhex(run[: len(run) // 2 * 2]) if hexed else _decoded(run[: len(run) - (len(run) % 4 == 1)]) or b""
+class Decoded:
+    """Bytes of a stretch of a run of base64 or hex. Only what is asked for is decoded, so that a look at lengths and tags
+    costs the same in a stretch of any size."""
+
+    def __init__(self, run: str, begin: int, chars: int, hexed: bool):
+        self.run, self.begin, self.hexed = run, begin, hexed
+        self.size = chars // 2 if hexed else chars * 6 // 8
+        self.end = begin + (2 * self.size if hexed else chars - (chars % 4 == 1))
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, at):
+        if isinstance(at, int):
+            return self[at : at + 1][0]
+        start, stop, _ = at.indices(self.size)
+        if stop <= start:
+            return b""
+        if self.hexed:
+            return bytes.fromhex(self.run[self.begin + 2 * start : self.begin + 2 * stop])
+        first = start // 3
+        part = _decoded(self.run[self.begin + 4 * first : min(self.end, self.begin + 4 * -(-stop // 3))]) or b""
+        return part[start - 3 * first : stop - 3 * first]
+
+    def startswith(self, prefix: bytes) -> bool:
+        return self[: len(prefix)] == prefix
 
 
 def _wrapped_spans(text: str, first: re.Pattern, following: re.Pattern, hexed: bool) -> list[tuple[str, int, int]]:
-    """Keys over two or more lines, which end where their own lengths say."""
+    """Keys over two or more lines, which end where their own lengths say. The lines of a wrapped run are read once; a line that
+    may begin a key says how long the key is, and the run says whether a line ends there."""
     out = []
     at, bits = 0, 4 if hexed else 6
     while m := first.search(text, at):
-        at, end, lines, size, more = m.end(), m.end(), [m[0]], len(m[0]), True
-        while more:  # read up to the least length, which then may turn out greater
-            data = _unwrapped(lines, hexed)
-            need = -(-8 * _key_size(data) // bits)
-            more = size < need <= len(text) - m.start()
-            while size < need and more:
-                line = following.match(text, end)
-                if more := line is not None:
-                    lines.append(line[1])
-                    size, end = size + len(line[1]), line.end()
-                    more = not line[2] or size >= need  # nothing follows the padding
-        if size == need and len(lines) > 1 and (is_der_key(data) or is_ssh_key(data)):
-            out.append(("der_key" if data[0] == 0x30 else "ssh_key", m.start(), end))
-            at = end
+        lines, ends, at = [m.span()], [m.end()], m.end()
+        while line := following.match(text, at):
+            at = line.end()
+            lines.append(line.span(1))
+            ends.append(at)
+            if line[2]:  # nothing follows the padding
+                break
+        run = "".join(text[a:b] for a, b in lines)
+        upto = [0]  # characters of the run before each line
+        for a, b in lines:
+            upto.append(upto[-1] + b - a)
+        k = 0
+        while k < len(lines) - 1:
+            begin, k = k, k + 1
+            if begin and not first.match(text, lines[begin][0]):
+                continue
+            need = -(-8 * _key_size(Decoded(run, upto[begin], len(run) - upto[begin], hexed)) // bits)
+            last = bisect_left(upto, upto[begin] + need)
+            if not need or last - begin < 2 or last > len(lines) or upto[last] - upto[begin] != need:
+                continue
+            data = Decoded(run, upto[begin], need, hexed)
+            if is_der_key(data) or is_ssh_key(data):
+                out.append(("der_key" if data[0] == 0x30 else "ssh_key", lines[begin][0], ends[last - 1]))
+                k = last
     return out
 
 
