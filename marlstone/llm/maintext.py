@@ -2,14 +2,15 @@
 
 Markup is stripped into lines of text. Parts that a page never shows as text or names as its
 frame (scripts, nav, footer, form and the like) and the step from one container to a sibling
-leave WINDOW empty lines. The evidence of a line is its length outside links; mark-up only
-weighs it: a marked article adds MARKED characters, text outside it on such a page and class
-words that name parts beside the text take a share. Over a sliding window of WINDOW lines the
-evidence is summed. Lines in a window without evidence are cut out; of the segments between
-them those stay in which a window reaches SURGE, from surge to dive point. On pages without
-a marked article a segment also stays if it shares its innermost container with one of these
-or lies between two of them, and if no window of the page reaches SURGE, all
-segments that are not links stay.
+leave WINDOW empty lines. The evidence of a line is its length outside links. Text beside a
+marked article, and under class words that name parts beside the text, has a constant for
+evidence, whatever its length. Over a sliding window of WINDOW lines the evidence is summed.
+Lines in a window without evidence are cut out; of the segments between them those stay in
+which a window reaches SURGE, from surge to dive point. A segment of the text that is no surge
+and not links stays if it lies between two of them (in a marked article: before the last), or
+shares its innermost container with one. If no window of the page reaches SURGE, lines under
+class words that may also name the text count by a share; if still none does, all segments of
+the text that are not links stay.
 
 A form that holds an article or most of the page's text is read as any other part.
 
@@ -33,10 +34,12 @@ from pyspark.sql import functions as F
 from .shipping import ship
 
 WINDOW = 2
-#: Characters of evidence that make a window part of the text, and those that a line of a marked article starts with.
-SURGE, MARKED = 80, 320
-#: Shares of a line's evidence: outside the marked article, under class words beside the text, under class words of such parts only.
-OUTSIDE, HINTED, NAMED = 1 / 8, 1 / 4, 1 / 100
+#: Characters of evidence that make a window part of the text.
+SURGE = 100
+#: Shares of a line's evidence under class words beside the text, and under class words of such parts only.
+HINTED, NAMED = 1 / 4, 1 / 100
+#: Evidence of a line that mark-up puts beside the text: a constant, so that no length makes such lines a surge.
+ASIDE = 1.0
 #: Share of a line's text that must be outside links for its segment to be text, on pages without a surge.
 UNLINKED = 0.25
 #: Elements whose text is not read at all, elements of the page's frame, elements that start a block, empty elements.
@@ -274,26 +277,25 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     lines = lines_of(page)
-    marked = any(x.inside for x in lines)
-    found = segments([(x.free + MARKED * x.inside) * x.share * (OUTSIDE if marked and not x.inside else 1) for x in lines])
+    marked = any(x.inside and x.free for x in lines)
+    ours = [(x.inside or not marked) and x.share > NAMED for x in lines]
+    found = segments([x.free if o and x.share == 1 else min(x.free, ASIDE) for x, o in zip(lines, ours)])
     surges = [peak >= SURGE for _, _, peak in found]
-    if not any(surges):
-        kept = [(a, b) for a, b, _ in found if any(x.free and x.free >= UNLINKED * len(x.text) and x.share > NAMED for x in lines[a:b])]
-        if not kept:  # links or named parts are all there is
-            kept = [(a, b) for a, b, _ in found if any(x.free for x in lines[a:b])]
-    elif marked:
-        kept = [(a, b) for (a, b, _), surge in zip(found, surges) if surge]
+    if not any(surges):  # the text may stand under class words that also name parts beside it
+        found = segments([x.free * x.share if o else min(x.free, ASIDE) for x, o in zip(lines, ours)])
+        surges = [peak >= SURGE for _, _, peak in found]
+    own = [[x for x, o in zip(lines[a:b], ours[a:b]) if o and x.text] for a, b, _ in found]
+    read = [any(x.free and x.free >= UNLINKED * len(x.text) for x in part) for part in own]  # not links alone
+    if any(surges):
+        first, last = surges.index(True), len(surges) - 1 - surges[::-1].index(True)
+        text_in = {x.container for part, surge in zip(own, surges) if surge for x in part}
+        near = [k < last and (marked or k > first) or any(x.container in text_in for x in part) for k, part in enumerate(own)]
+        kept = [part for part, surge, r, n in zip(own, surges, read, near) if surge or r and n]
     else:
-        first, last = surges.index(True), len(surges) - surges[::-1].index(True)
-        text_in = {x.container for (a, b, _), surge in zip(found, surges) if surge for x in lines[a:b] if x.text}
-
-        def belongs(k: int) -> bool:
-            own = [x for x in lines[found[k][0] : found[k][1]] if x.text]
-            near = first < k < last or any(x.container in text_in for x in own)
-            return near and any(x.free >= UNLINKED * len(x.text) and x.share > NAMED for x in own)
-
-        kept = [(a, b) for k, (a, b, _) in enumerate(found) if surges[k] or belongs(k)]
-    return "\n".join(x.text for a, b in kept for x in lines[a:b] if x.text)
+        kept = [part for part, r in zip(own, read) if r]
+        if not kept:  # links or named parts are all there is
+            kept = [[x for x in lines[a:b] if x.text] for a, b, _ in found if any(x.free for x in lines[a:b])]
+    return "\n".join(x.text for part in kept for x in part)
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

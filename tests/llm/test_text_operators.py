@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -155,16 +156,36 @@ def test_unmarked_pages_lose_menu_and_footer_by_the_windows(monkeypatch):
     assert whole[0] == "Home | News" and whole[-1].startswith("Copyright")
 
 
-def test_windows_decide_on_marked_pages():
-    teaser, long = "<article><p>A teaser</p></article>", "word " * 200
-    assert maintext.main_text(page(f"{teaser}<div><p>{long}</p></div><div><p>A short note</p></div>")) == "A teaser\n" + long.strip()
-    assert maintext.main_text(page(f"{teaser}<div class='ad'><p>{long}</p></div>")) == "A teaser"
+def test_windows_decide_on_marked_pages(monkeypatch):
+    html = page(f"<article><div><p>Lead</p></div><div>{STORY}</div><div><p>{SENTENCES}</p></div><div><p>Filed under news</p></div></article>")
+    assert maintext.main_text(html) == f"Lead\n{STORY_TEXT}\n{SENTENCES.strip()}"
+    monkeypatch.setattr(maintext, "segments", lambda values: [(0, len(values), sum(values))])
+    assert maintext.main_text(html).endswith("Filed under news")
+
 
+@pytest.mark.parametrize("n", [60, 700, 1000, 8500, 20_000])
+def test_no_length_makes_a_side_part_text(n):
+    long = f"<p>{'word ' * (n // 5)}</p>"
+    assert maintext.main_text(page(f"<article>{STORY}<div class='comments'>{long}</div></article>")) == STORY_TEXT
+    assert maintext.main_text(page(f"<div>{STORY}</div><div class='comments'>{long}</div>")) == STORY_TEXT
+    assert maintext.main_text(page(f"<article>{STORY}</article><div>{long}</div>")) == STORY_TEXT
+    assert maintext.main_text(page(f"<article><p>A teaser</p></article><div>{long}</div><div class='ad'>{long}</div>")) == "A teaser"
+    assert maintext.main_text(page(f"<div>{STORY}</div><div class='user-comment-7f3a'>{long}</div>")) == STORY_TEXT
 
-@pytest.mark.parametrize("html", ["<p class='share-price'>Up 4 %</p>", "<section id='search-results-analysis'><p>Short.</p></section>", "<p class='notice'>x</p>", "<div class='comments'><p>" + "long " * 4000 + "</p></div>"])
+
+@pytest.mark.parametrize("html", ["<p class='share-price'>Up 4 %</p>", "<section id='search-results-analysis'><p>Short.</p></section>", "<p class='notice'>x</p>"])
 def test_class_words_only_weigh(html):
     inner = " ".join(re.sub(r"<[^>]*>", "", html).split())
     assert maintext.main_text(page(f"<article><p>a</p>{html}<p>b</p></article>")) == f"a\n{inner}\nb"
+    assert maintext.main_text(page(f"<article><p>{SENTENCES}</p>{html}<p>{SENTENCES}</p></article>")) == f"{SENTENCES.strip()}\n{inner}\n{SENTENCES.strip()}"
+
+
+def test_pages_keep_their_text_without_names():
+    """Of the pages of sf0.01, stripped of class, id, role and of article and main, at least 95 % give the same text."""
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet").column("html").to_pylist()
+    bare = [re.sub(r"""\s(class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", "", re.sub(r"<(/?)(article|main)\b", r"<\1div", p)) for p in pages]
+    same = sum(maintext.main_text(a) == maintext.main_text(b) for a, b in zip(pages, bare))
+    assert same >= 0.95 * len(pages) and all(a != b for a, b in zip(pages, bare))
 
 
 @pytest.mark.parametrize("name", ["comments", "comment-list", "ad", "ad-slot-1", "cookie-notice", "newsletter-form", "site-sidebar"])
@@ -280,3 +301,17 @@ def test_base_spans_follow_the_patterns(spark):
 def test_features_are_distinct_and_in_row_order():
     (begin, n, row, x), = quality.features(pa.array(["a b a", None, "B\nb"]))
     assert (begin, n) == (0, 3) and (np.diff(row) >= 0).all() and len(set(zip(row, x))) == len(row) and 1 not in row
+
+
+def test_wrapped_look_alikes_take_time_in_proportion():
+    """Lines that each begin like a long key: their lengths are looked at, not what they claim to hold."""
+    n = 8000
+    claims = [base64.b64encode(b"\x30\x83" + ((n - i) * 48 - 5).to_bytes(3, "big") + b"\x02" * 43).decode() for i in range(n)]  # each to the very end
+    for lines in (["MIIJKAIBAAKC" + "A" * 52] * n, claims, ["AAAAB3NzaC1yc2EAAAAD" + "A" * 44] * n, ["3082ffff0201" + "0" * 52] * n):
+        began = time.process_time()
+        assert secrets.confirmed_spans("\n".join(lines)) == []
+        assert time.process_time() - began < 5
+    key = B64(RSA)
+    wrapped = "\n".join(key[i : i + 64] for i in range(0, len(key), 64))
+    text = "\n".join(claims[:500]) + "\n" + wrapped + "\n" + "\n".join(claims[:500])
+    assert [(k, text[a:b]) for k, a, b in secrets.confirmed_spans(text)] == [("der_key", wrapped)]
