@@ -175,26 +175,40 @@ def test_every_governed_rule_is_executed_somewhere(spark, monkeypatch):
             catalogue.execution_inventory()
 
 
-def test_halves_of_rules(month):
+def issues_of(rows, key):
+    return {(r[key], i.rule_id) for r in rows.select(key, "issues").collect() for i in r.issues}
+
+
+def test_halves_of_row_rules(month):
     """Each rule half by a mutation of one row, under its own id."""
+    first = lambda n, key: [r[0] for r in month[n].select(key).distinct().orderBy(key).take(2)]
+    (denial, _), (remit, *_), (line, other) = first("denials", "denial_id"), first("remittances", "remittance_id"), first("claim-lines", "claim_line_id")
+    judged = lambda n, df, key: issues_of(rules.classify(n, df, evaluated()), key)
+    assert (denial, "DEN-007") in judged("denials", change(month["denials"], "denial_id", denial, appeal_deadline_date=""), "denial_id")
+    assert judged("remittances", change(month["remittances"], "remittance_id", remit, remittance_date="2026-01-01"), "remittance_id") == {(remit, "REM-005")}
+    lines = change(change(month["claim-lines"], "claim_line_id", line, place_of_service_code="x1"), "claim_line_id", other, revenue_code="12")
+    assert judged("claim-lines", lines, "claim_line_id") == {(line, "CLN-005"), (other, "CLN-005")}
+
+
+def test_halves_of_rules_across_rows(month):
     frames = dict(month)
-    first = lambda n, key, k=2, where="true": [r[0] for r in frames[n].filter(where).select(key).distinct().orderBy(key).take(k)]
-    denials, appeals, remits, lines, payers = first("denials", "denial_id", 3), first("appeals", "appeal_id", 2), first("remittances", "remittance_id", 1), first("claim-lines", "claim_line_id", 2), first("reference-data.payers", "payer_id", 1)
-    held = {r.appeal_id: r.denial_id for r in frames["appeals"].collect()}
-    free = [d for d in denials if d not in {held[a] for a in appeals}]
-    frames["denials"] = change(change(frames["denials"], "denial_id", free[0], denial_date="2026-06-01"), "denial_id", free[-1], appeal_deadline_date="")
-    frames["appeals"] = change(change(frames["appeals"], "appeal_id", appeals[0], appeal_deadline_date="2026-12-31"), "appeal_id", appeals[1], requested_amount="9999999.00")
-    frames["remittances"] = change(frames["remittances"], "remittance_id", remits[0], remittance_date="2026-01-01")
-    frames["claim-lines"] = change(change(frames["claim-lines"], "claim_line_id", lines[0], place_of_service_code="x1"), "claim_line_id", lines[1], revenue_code="12")
-    frames["reference-data.payers"] = change(frames["reference-data.payers"], "payer_id", payers[0], valid_to="2026-12-31")
-    result = rules.evaluate(frames, evaluated(), shared_checkpoint)
-    got = {n: {(r[key], i.rule_id) for r in result["rows"][n].collect() for i in r.issues} for n, key in (("denials", "denial_id"), ("appeals", "appeal_id"), ("remittances", "remittance_id"), ("claim-lines", "claim_line_id"), ("reference-data.plans", "payer_id"))}
-    assert (free[0], "DEN-005") in got["denials"]
-    assert len(free) < 2 or (free[-1], "DEN-007") in got["denials"]
-    assert (appeals[0], "APL-011") in got["appeals"] and (appeals[0], "APL-003") not in got["appeals"] and (appeals[1], "APL-007") in got["appeals"]
-    assert (remits[0], "REM-005") in got["remittances"]
-    assert {(lines[0], "CLN-005"), (lines[1], "CLN-005")} <= got["claim-lines"]
-    assert (payers[0], "REF-006") in got["reference-data.plans"]
+    appeals = {r.appeal_id: r.denial_id for r in month["appeals"].orderBy("appeal_id").collect()}
+    (late, _), (large, _) = list(appeals.items())[:2]
+    early = next(r.denial_id for r in month["denials"].orderBy("denial_id").collect() if r.denial_id not in (appeals[late], appeals[large]))
+    frames["denials"] = change(month["denials"], "denial_id", early, denial_date="2026-06-01")
+    frames["appeals"] = change(change(month["appeals"], "appeal_id", late, appeal_deadline_date="2026-12-31"), "appeal_id", large, requested_amount="9999999.00")
+    rows = rules.evaluate(frames, evaluated(), shared_checkpoint)["rows"]
+    assert (early, "DEN-005") in issues_of(rows["denials"], "denial_id")
+    got = issues_of(rows["appeals"], "appeal_id")
+    assert (late, "APL-011") in got and (late, "APL-003") not in got and (large, "APL-007") in got
+    assert {a for a, rule in got if rule == "APL-003"} == {a for a, d in appeals.items() if d == early}  # it goes with its denial
+
+
+def test_plans_lie_within_one_version_of_their_payer(month):
+    names = ("reference-data.payers", "reference-data.plans")
+    payer = month[names[0]].orderBy("payer_id").first().payer_id
+    frames = {names[0]: change(month[names[0]], "payer_id", payer, valid_to="2026-12-31"), names[1]: month[names[1]]}
+    assert issues_of(rules.evaluate(frames, evaluated(), shared_checkpoint)["rows"][names[1]], "payer_id") == {(payer, "REF-006")}
 
 
 def test_unknown_source_blocks(month):
