@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
@@ -11,7 +13,8 @@ from ..operators.fixpoint import settle
 from ..operators.sweep import overlap_pairs
 from ..operators.trees import fingerprints, replay_difference, tree_commitment
 from ..operators.windows import with_validity
-from ..sources.files import shared_checkpoint
+from ..sources.files import shared_checkpoint, shared_folder
+from ..sources.transactions import commit, committed
 from .registry import query
 
 #: Rows above which a key of these queries may be cut.
@@ -185,3 +188,15 @@ def replay_by_fingerprints(t):
     k = F.col("o_orderkey")
     again = t.orders.filter(k % 977 != 1).withColumn("o_orderstatus", F.when((k % 977 == 2) & (F.col("o_orderstatus") == "F"), "O").otherwise(F.col("o_orderstatus")))
     return replay_difference(t.orders, again, fingerprints(t.orders, "orders", ["o_orderkey"]), "orders", ["o_orderkey"])
+
+
+@query("""SELECT 'batches' AS name, 'all' AS delivery, count(DISTINCT o_orderpriority) AS n, CAST(count(*) AS BIGINT) AS total FROM orders
+UNION ALL SELECT 'rows', o_orderpriority, count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders GROUP BY 2""")
+def transactional_deliveries(t):
+    """Orders come as a delivery for each priority, rows and batch record committed together; each comes twice and counts once."""
+    folder = f"{shared_folder(t.spark)}/deliveries-{uuid4().hex}"
+    for k in [r[0] for r in t.orders.select("o_orderpriority").distinct().orderBy("o_orderpriority").collect()] * 2:  # a row a delivery
+        rows = t.orders.filter(F.col("o_orderpriority") == k)
+        commit(t.spark, folder, k, "v1", {"batches": rows.agg(F.count("*").alias("n")), "rows": rows.select("o_orderkey")})
+    batches = committed(t.spark, folder, "batches").agg(F.count("*").alias("n"), F.sum("n").alias("total")).select(F.lit("batches").alias("name"), F.lit("all").alias("delivery"), "n", "total")
+    return batches.unionByName(committed(t.spark, folder, "rows").groupBy("delivery").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("total")).select(F.lit("rows").alias("name"), "delivery", "n", "total"))

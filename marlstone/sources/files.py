@@ -10,7 +10,7 @@ import tempfile
 from pathlib import Path
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +54,24 @@ def read_contract_csv(spark: SparkSession, path: str, columns: list[str]) -> Dat
     return rows.fillna("")
 
 
+def read_numbered_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Rows as ``read_contract_csv`` has them, with their file and row_number, from 1 after the header, as a plain reader
+    counts. Files are read in splits; a split counts its lines (a row a split), and what lies before it is added. Fields hold
+    no line breaks and lines are none of them empty, as in what ``write_contract_csv`` writes."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_at"))
+    splits = lines.groupBy("file", "_split").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    placed = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    numbered = lines.join(placed, ["file", "_split"]).withColumn("row_number", F.col("_before") + F.col("_at") - F.col("_first"))
+    heads = numbered.filter((F.col("row_number") == 0) & (F.col("value") != ",".join(columns)))
+    if not heads.isEmpty():
+        raise DeliveryError(f"header of {path} differs from its contract")
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    parsed = F.from_csv("value", schema, {"mode": "FAILFAST", "nullValue": "\0", "emptyValue": ""})
+    rows = numbered.filter("row_number > 0").select("file", "row_number", parsed.alias("_row")).select("file", "row_number", "_row.*")
+    return rows.fillna("", subset=columns)
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 

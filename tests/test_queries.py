@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from marlstone.plans import aggregate_queries, join_queries, metric_queries, rule_queries, scalar_queries, scale_queries  # noqa: F401
+from marlstone.plans import aggregate_queries, join_queries, metric_queries, registry_queries, rule_queries, scalar_queries, scale_queries  # noqa: F401
 from marlstone.plans.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"

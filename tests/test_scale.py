@@ -164,3 +164,92 @@ def test_a_source_without_rules_and_an_unused_policy_are_fatal():
         C.compile_catalogue(entries, FIELDS | {"stray": ["id"]}, POLICY)
     with pytest.raises(C.CatalogueError, match="used by no rule"):
         C.compile_catalogue(entries, FIELDS, POLICY | {("customer", "order"): "C-9"})
+
+
+def test_deliveries_become_visible_together(spark, tmp_path):
+    from pyspark.sql.functions import raise_error
+
+    from marlstone.sources.files import DeliveryError
+    from marlstone.sources.transactions import commit, committed
+
+    at = str(tmp_path / "deliveries")
+    rows = spark.range(10).repartition(3)
+    assert committed(spark, at, "rows") is None
+    broken = rows.withColumn("x", F.when(F.col("id") == 7, raise_error(F.lit("a task dies"))).otherwise("x"))
+    with pytest.raises(Exception, match="a task dies"):
+        commit(spark, at, "d1", "h", {"batch": rows.limit(1), "rows": broken})
+    assert committed(spark, at, "batch") is None
+    assert commit(spark, at, "d1", "h", {"batch": rows.limit(1), "rows": rows.withColumn("x", F.lit("x"))}) == "committed"
+    assert commit(spark, at, "d1", "h", {"batch": rows, "rows": broken}) == "duplicate_no_op"
+    with pytest.raises(DeliveryError):
+        commit(spark, at, "d1", "other", {"batch": rows})
+    assert commit(spark, at, "d2", "h", {"rows": rows.withColumn("x", F.lit("y"))}) == "committed"
+    assert committed(spark, at, "batch").count() == 1
+    assert {(r.delivery, r.x, r.n) for r in committed(spark, at, "rows").groupBy("delivery", "x").agg(F.count("*").alias("n")).collect()} == {("d1", "x", 10), ("d2", "y", 10)}
+    # of two commits of one key at once the first counts
+    spark.read.parquet(f"{at}/commits").filter("key = 'd2'").withColumns({"number": F.lit(2**62), "id": F.lit("later")}).write.mode("append").parquet(f"{at}/commits")
+    assert committed(spark, at, "rows").count() == 20
+
+
+def test_row_numbers_of_split_files(spark, tmp_path):
+    from marlstone.sources.files import DeliveryError, read_numbered_csv
+
+    rows = {f"{n}.csv": [[f"{n}-{i}", "x" * (i * 7 % 50), "a,b" if i % 5 == 0 else ""] for i in range(n)] for n in (1, 200, 431, 0)}
+    quoted = lambda x: f'"{x}"' if "," in x else x
+    for name, content in rows.items():
+        (tmp_path / name).write_text("\n".join(["id,text,more", *(",".join(map(quoted, r)) for r in content)]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        got = read_numbered_csv(spark, str(tmp_path), ["id", "text", "more"])
+        assert got.rdd.getNumPartitions() > 1
+        assert {(r.file.rsplit("/", 1)[1], r.row_number, r.id, r.text, r.more) for r in got.collect()} == {(name, i, *r) for name, content in rows.items() for i, r in enumerate(content, 1)}
+        with pytest.raises(DeliveryError):
+            read_numbered_csv(spark, str(tmp_path), ["id", "more", "text"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_hash_trees(spark):
+    from marlstone.operators import trees
+
+    rows = spark.range(3000).select(F.when(F.col("id") < 2900, "big").otherwise("small").alias("relation"), F.col("id").cast("string").alias("key"), F.md5(F.col("id").cast("string")).alias("content"))
+    commit = lambda df: {r.relation: (r.row_count, r.depth, r.tree_sha256) for r in trees.tree_commitment(df, leaf=20).collect()}
+    first = commit(rows)
+    assert first == commit(rows.repartition(7).orderBy(F.desc("key"))) and first["big"][:2] == (2900, 1) and first["small"][:2] == (100, 1)
+    for changed in (rows.filter("key <> '17'"), rows.withColumn("content", F.when(F.col("key") == "17", "x").otherwise(F.col("content"))), rows.unionByName(rows.filter("key = '17'")), rows.withColumn("key", F.when(F.col("key") == "17", "17 ").otherwise(F.col("key")))):
+        again = commit(changed)
+        assert again["big"][2] != first["big"][2] and again["small"] == first["small"]
+    levels = trees.tree_nodes(rows, leaf=20)
+    assert levels[0].agg(F.max("members")).first()[0] < 60 and levels[-1].filter("prefix = ''").count() == 2
+
+
+def test_replay_is_located_by_fingerprints(spark):
+    from marlstone.operators import trees
+
+    rows = spark.range(500).select("id", F.when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("a"), F.lit(None).cast("string").alias("b"))
+    known = trees.fingerprints(rows, "r", ["id"], 16)
+    assert known.agg(F.sum("n")).first()[0] == 500 and trees.differing(known, trees.fingerprints(rows.repartition(5), "r", ["id"], 16)).count() == 0
+    after = rows.filter("id <> 3").withColumn("b", F.when(F.col("id") == 8, "new").otherwise(F.col("b"))).unionByName(rows.filter("id = 20")).unionByName(spark.createDataFrame([(900, "x", None)], rows.schema))
+    got = {tuple(r) for r in trees.replay_difference(rows, after, known, "r", ["id"], 16).collect()}
+    assert got == {(3, "missing"), (8, "different"), (20, "unexpected"), (900, "unexpected")}
+    swapped = rows.withColumn("b", F.col("a")).withColumn("a", F.lit(None).cast("string"))
+    assert trees.differing(known, trees.fingerprints(swapped, "r", ["id"], 16)).count() == 16
+
+
+def test_compaction_touches_only_its_buckets(spark, tmp_path):
+    from marlstone.operators import compaction
+
+    at = str(tmp_path / "membership")
+    schema = "publication_id string, chain_position bigint, relation string, key string, sequence bigint, content string"
+    one = lambda rows: spark.createDataFrame(rows, schema)
+    base = one([("p0", 0, "r", str(i), 0, f"c{i}") for i in range(40)])
+    delta = one([("p1", 1, "r", "3", 0, None), ("p1", 1, "r", "3", 1, "again"), ("p1", 1, "r", "4", 0, None), ("p1", 1, "r", "new", 0, "n")])
+    late = one([("p0", 0, "r", "4", 9, "too late"), ("p2", 2, "r", "5", 0, "five")])
+    whole = {tuple(r) for r in compaction.resolve(spark, str(tmp_path / "none"), base.unionByName(delta).unionByName(late)).collect()}
+    assert compaction.compact(spark, at, base, buckets=8) == 8 and compaction.compact(spark, at, base.filter("false"), buckets=8) == 0
+    assert {tuple(r) for r in compaction.resolve(spark, at, delta.unionByName(late)).collect()} == whole
+    assert 1 <= compaction.compact(spark, at, delta, buckets=8) <= 3
+    assert {tuple(r) for r in compaction.resolve(spark, at, late).collect()} == whole
+    assert compaction.compact(spark, at, late, buckets=8) <= 2
+    assert {tuple(r) for r in compaction.resolve(spark, at).collect()} == whole and ("p0", "r", "4", "too late") not in whole
