@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components, merged_components
 from .merging import parts, space_words
-from .shipping import checkpointed, compact, ship, unused
+from .shipping import checkpointed, compact, quoted, ship, unused
 
 SHINGLE = 5
 #: Links: 100 * intersection >= PERCENT * union.
@@ -543,4 +543,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     if not again.isEmpty():  # rows that are repeated are few, so that only they are dealt by key
         repeated = F.col(key).eqNullSafe(F.col("at"))
         kept = kept.join(again, repeated, "left_anti").unionByName(kept.join(again, repeated, "left_semi").dropDuplicates([key]))
-    return kept.select(docs.columns)
+    return kept.select(*map(quoted, docs.columns))

@@ -25,17 +25,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shipping import checkpointed
+from .shipping import checkpointed, quoted
 
 GRAM_WORDS, WINDOW_WORDS, RUN_WORDS = 20, 20, 50
+#: White space besides the space and the end of a line, which counts as a space.
+WHITE = "\t\x0b\x0c\r"
 #: Parts that the places of a run are dealt to, so that one run in a third of all documents is not one task's.
 PARTS = 32
 
 
 def numbered_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, body, pos, line hash in two parts, words, words before) of every line that is not blank, dealt by document."""
-    texts = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("body"), F.col(text_col).alias("text"))
-    lines = texts.select("doc", "body", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    texts = docs.select(F.col(quoted(id_col)).alias("doc"), F.xxhash64(quoted(text_col)).alias("body"), F.col(quoted(text_col)).alias("text"))
+    lines = texts.select("doc", "body", F.posexplode(F.split(F.translate("text", WHITE, " " * len(WHITE)), "\n")).alias("pos", "line"))
     lines = lines.select("doc", "body", "pos", F.trim("line").alias("line")).filter("line <> ''")
     lines = lines.select("doc", "body", "pos", F.struct(F.xxhash64("line").alias("x"), F.xxhash64(F.lit(PARTS), "line").alias("y")).alias("h"), F.size(F.split("line", " +")).alias("n"))
     lines = lines.repartition("doc", "body").dropDuplicates(["doc", "body", "pos"])
@@ -89,13 +91,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if counts and clash:
         raise ValueError(f"columns named {sorted(clash)} are there already")
     ranges = repeated_ranges(docs, id_col, text_col)
-    joined = docs.alias("d").join(ranges.alias("r"), F.col(f"d.{id_col}").eqNullSafe(F.col("r.doc")) & (F.xxhash64(F.col(f"d.{text_col}")) == F.col("r.body")), "left")
-    text, found = F.col(f"d.{text_col}"), F.col("r.ranges")
+    joined = docs.alias("d").join(ranges.alias("r"), F.col(f"d.{quoted(id_col)}").eqNullSafe(F.col("r.doc")) & (F.xxhash64(F.col(f"d.{quoted(text_col)}")) == F.col("r.body")), "left")
+    text, found = F.col(f"d.{quoted(text_col)}"), F.col("r.ranges")
     lines = F.split(text, "\n")
     kept = F.filter(lines, lambda line, i: ~F.exists(found, lambda x: (i >= x["first"]) & (i <= x["last"])))
     deleted = F.aggregate(found, F.lit(0), lambda n, x: n + x["last"] - x["first"] + 1)
     new = F.when(found.isNull(), text).otherwise(F.array_join(kept, "\n"))
-    columns = [new.alias(c) if c == text_col else F.col(f"d.{c}") for c in docs.columns]
+    columns = [new.alias(c) if c == text_col else F.col(f"d.{quoted(c)}") for c in docs.columns]
     if counts:
         columns += [F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias(names[0]), F.coalesce(deleted, F.lit(0)).cast("long").alias(names[1])]
     return joined.select(*columns)
@@ -104,7 +106,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 #: The same result by the plain definition: compare all shortest runs of RUN_WORDS words, by their text.
 ORACLE = f"""
 WITH raw AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents),
-lines AS (SELECT doc_id, pos, trim(line) AS line, len(string_split_regex(trim(line), ' +')) AS n FROM raw WHERE trim(line) <> ''),
+spaced AS (SELECT doc_id, pos, trim(translate(line, chr(9) || chr(11) || chr(12) || chr(13), '    ')) AS line FROM raw),
+lines AS (SELECT *, len(string_split_regex(line, ' +')) AS n FROM spaced WHERE line <> ''),
 placed AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS s, sum(n) OVER (PARTITION BY doc_id) AS total FROM lines),
 runs AS (
   SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) OVER w AS key, min(pos) OVER w AS first_pos, max(pos) OVER w AS last_pos, total - s AS held FROM placed

@@ -74,3 +74,8 @@ def unused(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def quoted(name: str) -> str:
+    """A column name as one identifier, dots and all."""
+    return "`" + name.replace("`", "``") + "`"

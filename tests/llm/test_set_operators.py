@@ -9,6 +9,7 @@ import textwrap
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marlstone.llm import components, decontam, embed, jaccard, licenses, linededup
 
@@ -97,6 +98,25 @@ def test_line_dedup_edges(spark):
     assert linededup.dedup_lines(df.filter("false")).count() == 0 and linededup.dedup_lines(df).columns == df.columns
 
 
+def test_white_space_of_any_kind_parts_words(spark):
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(words), "\t".join(words), " ".join(words) + " \r", "\x0b" + "\x0c".join(words), " ".join(words[:30]) + "\t" + " ".join(words[30:])]
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(frame(spark, [(i, f"own {i}\n{t}\nend {i}") for i, t in enumerate(texts)])).collect()}
+    assert got == {0: f"own 0\n{texts[0]}\nend 0", **{i: f"own {i}\nend {i}" for i in range(1, 5)}}
+
+
+def test_names_with_dots_and_ticks(spark):
+    long = " ".join(f"w{k}" for k in range(60))
+    df = frame(spark, [(1, long), (2, f"x\n{long}"), (3, "other")]).withColumns({"a.b": F.lit("k"), "c`d": F.lit(1), "doc": F.lit("clash")})
+    got = linededup.dedup_lines(df)
+    assert got.columns == df.columns and {(r.doc_id, r.text, r["a.b"], r["c`d"], r.doc) for r in got.collect()} == {(1, long, "k", 1, "clash"), (2, "x", "k", 1, "clash"), (3, "other", "k", 1, "clash")}
+    one = jaccard.keep_one(df)
+    assert one.columns == df.columns and {(r.doc_id, r["a.b"]) for r in one.collect()} == {(1, "k"), (3, "k")}
+    import corpus_pipeline
+
+    assert corpus_pipeline.line_dedup(spark, df.withColumn("n_chars", F.lit(0).cast("long")), "").filter("doc_id = 2").first()["a.b"] == "k"
+
+
 def windows_of(words):
     n = min(len(words), decontam.WINDOW)
     return {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} if n else set()
