@@ -23,7 +23,7 @@ from marlstone.llm.jaccard import keep_one
 from marlstone.llm.linededup import dedup_lines
 from marlstone.llm.pieces import encode_documents
 from marlstone.llm.quality import fit_quality_model, keep_good
-from marlstone.llm.shipping import shared_folder, unused
+from marlstone.llm.shipping import quoted, shared_folder, unused
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     names = unused(docs, "lines_before"), unused(docs, "lines_deleted")
     whole = F.col(names[1]) == 0
     counted = dedup_lines(docs, counts=True, names=names).filter(whole | F.col("text").rlike(r"\S"))
-    return counted.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(docs.columns)
+    return counted.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*map(quoted, docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
