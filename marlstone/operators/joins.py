@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sweep import overlap_pairs
+
 OPEN_END = "9999-12-31"
 
 
@@ -54,23 +56,9 @@ def match_counts(rows: DataFrame, row_id: str, targets: DataFrame, on: Column) -
 
 
 def overlapping(versions: DataFrame, entity: list[str], version_id: str, start: str = "valid_from", end: str = "valid_to") -> DataFrame:
-    """Pairs of versions of one entity, smaller id first, whose intervals intersect. The versions of an entity are
-    swept in order of their start; where none still runs a new stretch begins, and only versions of a stretch of
-    two or more are compared. A null start meets nothing."""
-    from pyspark.sql import Window
-
-    open_ = lambda c: F.coalesce(F.col(c), F.lit(OPEN_END).cast("date"))
-    by_start = Window.partitionBy(*entity).orderBy(start)
-    running = F.max(open_(end)).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    narrow = versions.filter(F.col(start).isNotNull()).select(*entity, version_id, start, end)
-    opened = narrow.withColumn("_new", F.when(running > F.col(start), 0).otherwise(1))
-    stretched = opened.withColumn("_stretch", F.sum("_new").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
-    meeting = stretched.withColumn("_n", F.count("*").over(Window.partitionBy(*entity, "_stretch"))).filter("_n > 1")
-    on = F.col(f"a.{version_id}") < F.col(f"b.{version_id}")
-    for e in [*entity, "_stretch"]:
-        on = (F.col(f"a.{e}") == F.col(f"b.{e}")) & on
-    meet = (F.col(f"a.{start}") < open_(f"b.{end}")) & (F.col(f"b.{start}") < open_(f"a.{end}"))
-    return meeting.alias("a").join(meeting.alias("b"), on & meet).select(*(F.col(f"a.{e}") for e in entity), F.col(f"a.{version_id}").alias("left_id"), F.col(f"b.{version_id}").alias("right_id"))
+    """Pairs of versions of one entity, smaller id first, of which each begins before the other ends, by a sweep. A null start
+    meets nothing, a null end is open."""
+    return overlap_pairs(versions, entity, version_id, start, end)
 
 
 def reconcile(expected: DataFrame, actual: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
