@@ -10,7 +10,7 @@ from ..operators import quality as Q
 from ..operators.asof import asof_scan
 from ..operators.catalogue import compile_catalogue, read_catalogue
 from ..operators.fixpoint import settle
-from ..operators.sweep import overlap_pairs
+from ..operators.sweep import overlap_totals
 from ..operators.trees import fingerprints, replay_difference, tree_commitment
 from ..operators.windows import with_validity
 from ..sources.files import shared_checkpoint, shared_folder
@@ -40,7 +40,7 @@ def overlap_hot_entities(t):
     """Five entities hold all orders, each a stretch of up to two days; stretches of no day meet what runs through them."""
     day = F.to_date("o_orderdate")
     spans = t.orders.select("o_orderpriority", "o_orderkey", day.alias("valid_from"), F.date_add(day, (F.col("o_custkey") % 3).cast("int")).alias("valid_to"))
-    return overlap_pairs(spans, ["o_orderpriority"], "o_orderkey", least=LEAST // 5).groupBy("o_orderpriority", "left_id").agg(F.count("*").alias("n"), F.sum("right_id").alias("rights"))
+    return overlap_totals(spans, ["o_orderpriority"], "o_orderkey")
 
 
 @query("""WITH RECURSIVE r AS (SELECT o_orderkey AS id, o_orderkey - 1 AS parent, o_orderkey % 1000 <> 0 AS has, o_orderkey % 1009 = 5 AS bad FROM orders),

@@ -12,7 +12,7 @@ from marlstone.operators import fixpoint
 from marlstone.operators import quality as Q
 from marlstone.operators.asof import asof_scan
 from marlstone.operators.splits import hot_splits
-from marlstone.operators.sweep import overlap_pairs
+from marlstone.operators.sweep import overlap_pairs, overlap_totals
 from marlstone.sources.files import shared_checkpoint
 
 DAY = lambda n: datetime.date(2024, 1, 1) + datetime.timedelta(n)
@@ -80,6 +80,30 @@ def test_touching_intervals_are_swept_in_line(spark):
     assert met.agg(F.count("*"), F.count_if(F.col("right_id") - F.col("left_id") == 1)).first()[:] == (n - 1, n - 1)
 
 
+def test_overlap_totals_by_brute_force(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "a", "b", None]), rng.randint(0, 90) if rng.random() < 0.95 else None, None if rng.random() < 0.05 else (f := rng.randint(-9, 9)), None if rng.random() < 0.05 else f + rng.choice([0, 0, 1, 2, 5])) for _ in range(150)]
+    df = spark.createDataFrame(rows + [("a", 95, 4, 2)], "entity string, id bigint, valid_from int, valid_to int")
+    want = {}
+    for a, b in itertools.permutations(rows, 2):
+        if None not in (*a, *b) and a[0] == b[0] and a[1] < b[1] and a[2] < b[3] and b[2] < a[3]:
+            n, rights = want.get(a[:2], (0, 0))
+            want[a[:2]] = n + 1, rights + b[1]
+    assert {tuple(r[:2]): tuple(r[2:]) for r in overlap_totals(df, ["entity"], "id").collect()} == want
+    assert overlap_totals(df.filter("false"), ["entity"], "id").count() == 0
+
+
+def test_hot_overlaps_are_counted_without_their_pairs(spark, tmp_path):
+    """All orders of one day: each meets every other, 200 million pairs, of which the query makes none."""
+    from __spark_entry__ import queries
+
+    n = 20_000
+    spark.range(n).selectExpr("id AS o_orderkey", "1L AS o_custkey", "'1-URGENT' AS o_orderpriority", "timestamp'1995-01-01' AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    found = queries()["overlap_hot_entities"](spark, str(tmp_path))
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.agg(F.count("*"), F.sum("n"), F.sum(F.col("rights") - (F.lit(n * (n - 1) // 2) - F.expr("left_id * (left_id + 1) div 2")))).first()[:] == (n - 1, n * (n - 1) // 2, 0)
+
+
 def settled(spark, rows, edges, failed=None):
     df = Q.classified(spark.createDataFrame(rows, "row_id string, k string, parent string, ok boolean"), [Q.issue("BAD", "quarantined", "k", "bad", ~F.col("ok"))])
     frames = {"x": shared_checkpoint(df)}
