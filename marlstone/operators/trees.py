@@ -22,7 +22,7 @@ MAX_DEPTH = 4
 
 def member(key: Column, content: Column) -> Column:
     """<8 hex digits of the key's bytes>:key:content; a null content is the empty text."""
-    return F.format_string("%08x:%s:%s", F.octet_length(key), key, F.coalesce(content, F.lit("")))
+    return F.concat_ws(":", F.lower(F.lpad(F.hex(F.octet_length(key).cast("bigint")), 8, "0")), key, F.coalesce(content, F.lit("")))
 
 
 def depth_for(count: Column, leaf: int = LEAF) -> Column:
@@ -35,13 +35,15 @@ def tree_nodes(rows: DataFrame, relation: str = "relation", key: str = "key", co
     sized = rows.groupBy(relation).agg(F.count("*").alias("_n")).select(F.col(relation).alias("_relation"), depth_for(F.col("_n"), leaf).alias("depth"))
     of = rows.select(F.col(relation).alias("relation"), F.col(key).cast("string").alias("k"), F.col(content).cast("string").alias("c"))
     placed = of.join(F.broadcast(sized), F.col("relation") == F.col("_relation")).select("relation", "depth", F.substring(F.sha2("k", 256), F.lit(1), 2 * F.col("depth")).alias("prefix"), member(F.col("k"), F.col("c")).alias("m"))
-    level = placed.groupBy("relation", "depth", "prefix").agg(F.count("*").alias("members"), F.sha2(F.array_join(F.array_sort(F.collect_list("m")), "\n"), 256).alias("hash"))
+    level = placed.groupBy("relation", "depth", "prefix").agg(F.count("*").alias("members"), F.sha2(F.array_join(F.sort_array(F.collect_list("m")), "\n"), 256).alias("hash"))
     levels = [level]
     for down in range(MAX_DEPTH, 0, -1):
-        here = F.length("prefix") == 2 * down
-        children = F.array_sort(F.collect_list(F.struct(F.substring("prefix", -2, 2).alias("at"), "hash")))
-        up = level.filter(here).withColumn("up", F.substring("prefix", 1, 2 * down - 2)).groupBy("relation", "depth", "up").agg(F.sum("members").alias("members"), F.sha2(F.array_join(F.transform(children, lambda x: F.concat(x["at"], x["hash"])), ""), 256).alias("hash"))
-        level = level.filter(~here).unionByName(up.withColumnRenamed("up", "prefix"))
+        # one grouping for all: a relation whose nodes are higher has each of them in a group by itself, so no level is made twice
+        below = level.filter("prefix IS NOT NULL").withColumn("here", F.length("prefix") == 2 * down).withColumn("up", F.when(F.col("here"), F.substring("prefix", 1, 2 * down - 2)).otherwise(F.col("prefix")))
+        children = F.sort_array(F.collect_list(F.struct(F.when(F.col("here"), F.substring("prefix", -2, 2)).alias("at"), "hash")))
+        folded = below.groupBy("relation", "depth", "up", "here").agg(F.sum("members").alias("members"), children.alias("children"))
+        node = F.sha2(F.array_join(F.transform("children", lambda x: F.concat(x["at"], x["hash"])), ""), 256)
+        level = folded.select("relation", "depth", F.col("up").alias("prefix"), "members", F.when(F.col("here"), node).otherwise(F.element_at("children", 1)["hash"]).alias("hash"))
         levels.append(level)
     return levels
 

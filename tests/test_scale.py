@@ -248,6 +248,30 @@ def test_hash_trees(spark):
     assert levels[0].agg(F.max("members")).first()[0] < 60 and levels[-1].filter("prefix = ''").count() == 2
 
 
+def test_hash_trees_read_their_members_once(spark):
+    from hashlib import sha256
+
+    from marlstone.operators import trees
+
+    rows = spark.range(900).select(F.when(F.col("id") < 870, "deep").when(F.col("id") < 890, "low").otherwise("leaf").alias("relation"), F.concat(F.lit("é"), "id").alias("key"), F.when(F.col("id") % 9 > 0, F.col("id").cast("string")).alias("content"))
+    rows = rows.unionByName(spark.createDataFrame([("leaf", None, "no key")], "relation string, key string, content string"))
+    tree = trees.tree_commitment(rows, leaf=3)
+    assert tree._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 2  # the count and the leaves
+    digest = lambda x: sha256(x.encode()).hexdigest()
+
+    def node(members, prefix, depth):
+        if len(prefix) == 2 * depth:
+            return digest("\n".join(sorted(f"{len(k.encode()):08x}:{k}:{c or ''}" for k, c in members)))
+        below = {}
+        for k, c in members:
+            below.setdefault(digest(k)[: len(prefix) + 2], []).append((k, c))
+        return digest("".join(p[-2:] + node(m, p, depth) for p, m in sorted(below.items())))
+
+    for r in tree.collect():
+        members = [(x.key, x.content) for x in rows.filter((F.col("relation") == r.relation) & F.col("key").isNotNull()).collect()]
+        assert r.depth == {"deep": 2, "low": 1, "leaf": 1}[r.relation] and r.tree_sha256 == digest(f"tree-v1:{len(members)}:{r.depth}:{node(members, '', r.depth)}")
+
+
 def test_replay_is_located_by_fingerprints(spark):
     from marlstone.operators import trees
 
