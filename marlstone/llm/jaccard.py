@@ -13,8 +13,8 @@ are compared set by set, so no link between different components is lost.
 1. One pass over the texts: class key, set size, min-hash keys, a parity bitmap of
    the set, and the shingles that are frequent within the part at hand.
 2. A set is compared with the sets that lead most of its min-hash keys. It follows the
-   root of the tree of nearest leads, linked with it or not, if that is within RADIUS;
-   what is left has a second round. Classes under one anchor that are not in one
+   nearest of those that have no near lead themselves, linked with it or not, if that is
+   within RADIUS; what is left has a second round among itself. Classes under one anchor that are not in one
    component are confronted in blocks.
 3. Second pass, over the representatives only: the leading block of each class in the
    order (frequent shingles last, hash). Shingle lists are dealt in buckets; sets under
@@ -61,6 +61,8 @@ BUCKET_ROWS = 300_000
 CONFRONT_ROWS = 500
 #: Leads that a class is compared with, and the distance up to which it follows one.
 LEADS, RADIUS = 4, 0.5
+#: Rounds in which classes look for a lead.
+ROUNDS = 2
 #: Ids of wanted texts are broadcast up to this many (some 30 MB); beyond it they are joined by a shuffle.
 BROADCAST_IDS = 500_000
 _SEEDS = [np.uint64((0x9E3779B97F4A7C15 * (2 * i + 1)) % (1 << 64)) for i in range(BANDS)]
@@ -379,8 +381,7 @@ class _Join:
         often = counted.orderBy(F.desc("times"), "token").limit(FREQUENT_MAX).select("token").toArrow()  # 8 MB at most
         frequent = np.sort(often.column(0).to_numpy().astype(np.int64).view(np.uint64)) if often.num_rows else np.zeros(0, np.uint64)
 
-        near = self._near_leads()
-        follows = self._anchored(near)
+        near, follows = self._anchored()
         links = near.filter("linked").select("a", "b")
         # classes under one anchor: the nearest candidates first, as what they link need not be compared any more
         first = self._within(follows, None)
@@ -396,15 +397,28 @@ class _Join:
         open_pairs = near.join(sides[0], "a", "left").join(sides[1], "b", "left").filter("r_a IS NOT NULL OR r_b IS NOT NULL").fillna(0.0, ["r_a", "r_b"])
         return rows, self._followers(compact(open_pairs), follows, roots)
 
-    def _near_leads(self) -> DataFrame:
-        """(a: lead, b, far, linked) of the classes and their leads that are within RADIUS."""
-        compared = self.compare(self.bounded(self._leads(self.classes)))
+    def _near(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, far, linked) of the pairs (a, b, reach) that are within RADIUS."""
+        compared = self.compare(self.bounded(pairs))
         return compact(compared.select("a", "b", (1 - F.col("inter") / F.col("uni")).alias("far"), F.expr(_LINKED).alias("linked")).filter(F.col("far") <= RADIUS))
 
-    def _anchored(self, near: DataFrame) -> DataFrame:
-        """(cid, anchor, far): each class with the nearest of its leads that has no near lead itself."""
-        free = near.join(near.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
-        return compact(free.groupBy(F.col("b").alias("cid")).agg(F.min(F.struct("far", "a")).alias("x")).select("cid", F.col("x.a").alias("anchor"), F.col("x.far").alias("far")))
+    def _anchored(self) -> tuple[DataFrame, DataFrame]:
+        """(a: lead, b, far, linked) of the classes and their leads that are within RADIUS, and (cid, anchor, far): each class
+        with the nearest of its leads that has no near lead itself. Those that share keys with a lead, but follow none and
+        lead none, have another round among themselves: else each of a large group that its common lead is just too far
+        from would be an anchor, and would meet all others of the group."""
+        among, near, follows = self.classes, None, None
+        for k in range(ROUNDS):
+            pairs = compact(self._leads(among))
+            found = self._near(pairs)
+            free = found.join(found.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
+            new = compact(free.groupBy(F.col("b").alias("cid")).agg(F.min(F.struct("far", "a")).alias("x")).select("cid", F.col("x.a").alias("anchor"), F.col("x.far").alias("far")))
+            near, follows = (found, new) if near is None else (compact(near.unionByName(found)), compact(follows.unionByName(new)))
+            if k + 1 < ROUNDS:
+                taken = new.select("cid").unionByName(new.select(F.col("anchor").alias("cid"))).distinct()
+                shared = pairs.select(F.col("b").alias("cid")).distinct()
+                among = checkpointed(among.select("cid", "keys").join(shared, "cid", "left_semi").join(taken, "cid", "left_anti"))
+        return near, follows
 
     def _within(self, follows: DataFrame, roots: DataFrame | None) -> DataFrame:
         """Links between classes under one anchor that have different roots; without ``roots`` only to the nearest ones that are not linked to the anchor."""
