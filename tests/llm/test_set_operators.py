@@ -192,6 +192,26 @@ def test_jaccard_components_match_brute_force(spark, monkeypatch, seed):
     assert len(set(roots.values())) < len(rows) - 40
 
 
+def test_a_group_too_far_from_its_common_lead_has_one_of_its_own(spark, monkeypatch):
+    """Shortened near copies, each further than RADIUS from the long ones that lead their keys: they do not all meet."""
+    monkeypatch.setattr(jaccard, "LEADS", 1)
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(150)]
+
+    def copy(n, edits):
+        words = base[:n]
+        for k in rng.sample(range(n), edits):
+            words[k] = f"x{rng.random()}"
+        return " ".join(words)
+
+    rows = [(k, copy(150, 1)) for k in range(60)] + [(200 + k, copy(92, 2)) for k in range(60)]
+    met, plain = [], jaccard._Join._met
+    monkeypatch.setattr(jaccard._Join, "_met", lambda *a: met.append(plain(*a).checkpoint()) or met[-1])
+    sets, roots = jaccard_truth(rows)
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(frame(spark, rows)).collect()}
+    assert got == {i: roots[i] for i, _ in rows} and met[0].count() < 60 * 59 // 8
+
+
 def test_jaccard_edges(spark):
     got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(frame(spark, [(None, "p q"), (4, "P q"), (7, "p Q"), (8, None)])).collect()}
     assert got == {None: 4, 4: 4, 7: 4, 8: 8}
