@@ -2,30 +2,68 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shipping import checkpointed, compact, tasks_for
+from .shipping import compact, counted, ship, tasks_for
+
+#: Edges of a part that are settled together.
+FOREST_EDGES = 500_000
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b: bigint): root is the smallest node that it is connected with.
 
-    A large-star step links every larger neighbour of a node to the smallest one, a small-star step does the same with
-    the smaller neighbours; the rounds end, after a logarithmic number, when every node is a root or has one edge, to a
-    root. Every round is a checkpointed table."""
-    now = checkpointed(_down(edges.select("a", "b")))
-    while not _settled(now):
-        tasks = tasks_for(now.count())
-        now = compact(_small_star(_large_star(now.coalesce(tasks)).coalesce(tasks)).coalesce(tasks))
+    Each part of the edges is settled by itself first, so that stars are left, one edge a node. A large-star step links
+    every larger neighbour of a node to the smallest one, a small-star step does the same with the smaller neighbours;
+    the rounds end, after a logarithmic number, when every node is a root or has one edge, to a root. Every round is a
+    checkpointed table."""
+    ship(edges.sparkSession)
+    now, rows = counted(_down(edges.select("a", "b")))
+    while True:
+        whole = rows <= FOREST_EDGES and tasks_for(rows) == 1  # one part is settled with that
+        now, rows = counted(now.mapInArrow(_forest, "a bigint, b bigint"))
+        if whole or _settled(now):
+            break
+        now, rows = counted(_small_star(_large_star(now)))
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def _forest(batches, most: int = FOREST_EDGES):
+    """Edges (a, b) to an edge from each node to the smallest one that it is connected with, among ``most`` or a batch more at a time."""
+
+    def settled():
+        a, b = (np.concatenate(x) for x in zip(*held))
+        nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        a, b = at[: len(a)], at[len(a) :]
+        root = np.arange(len(nodes))
+        while len(a):
+            np.minimum.at(root, np.maximum(root[a], root[b]), np.minimum(root[a], root[b]))
+            while (root[root] != root).any():
+                root = root[root]
+            apart = root[a] != root[b]
+            a, b = a[apart], b[apart]
+        moved = root != np.arange(len(nodes))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[root[moved]])], names=["a", "b"])
+
+    held, n = [], 0
+    for batch in batches:
+        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        n += batch.num_rows
+        if n >= most:
+            yield settled()
+            held, n = [], 0
+    if n:
+        yield settled()
+
+
 def merged_components(roots: DataFrame, more: DataFrame) -> DataFrame:
     """``roots`` (node, root) of some edges, with the edges ``more`` (a, b) added."""
     of = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-    between = compact(more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).filter("a <> b").distinct())
-    if between.isEmpty():
+    between, rows = counted(more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).filter("a <> b").distinct())
+    if not rows:
         return roots
     above = compact(connected_components(between))
     moved = roots.join(above.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components, merged_components
 from .merging import parts, space_words
-from .shipping import checkpointed, compact, quoted, ship, unused
+from .shipping import checkpointed, compact, counted, observed, quoted, ship, unused
 
 SHINGLE = 5
 #: Links: 100 * intersection >= PERCENT * union.
@@ -63,7 +63,8 @@ CONFRONT_ROWS = 500
 LEADS, RADIUS = 4, 0.5
 #: Rounds in which classes look for a lead.
 ROUNDS = 2
-#: Ids of wanted texts are broadcast up to this many (some 30 MB); beyond it they are joined by a shuffle.
+#: Ids of wanted texts are broadcast up to this many, as hashes (some 40 MB with what goes to the first of the joins);
+#: beyond it they are joined by a shuffle. A text with another id and the same hash is told apart by its class key.
 BROADCAST_IDS = 500_000
 _SEEDS = [np.uint64((0x9E3779B97F4A7C15 * (2 * i + 1)) % (1 << 64)) for i in range(BANDS)]
 
@@ -375,8 +376,8 @@ class _Join:
         profile = checkpointed(self.texts.mapInArrow(_profile, _PROFILE.format(self.kind)))
         rows = profile.filter("token IS NULL").select("id", "cid", "n")
         classes = profile.filter("cid IS NOT NULL").groupBy("cid").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.first("keys").alias("keys"), F.first("bitmap").alias("bitmap"))
-        self.classes = checkpointed(classes)
-        self.few = self.classes.count() <= BROADCAST_IDS
+        self.classes, count = observed(classes)
+        self.few = count <= BROADCAST_IDS
         counted = profile.filter("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times")).filter(F.col("times") >= FREQUENT_ROWS)
         often = counted.orderBy(F.desc("times"), "token").limit(FREQUENT_MAX).select("token").toArrow()  # 8 MB at most
         frequent = np.sort(often.column(0).to_numpy().astype(np.int64).view(np.uint64)) if often.num_rows else np.zeros(0, np.uint64)
@@ -400,7 +401,7 @@ class _Join:
     def _near(self, pairs: DataFrame) -> DataFrame:
         """(a, b, far, linked) of the pairs (a, b, reach) that are within RADIUS."""
         compared = self.compare(self.bounded(pairs))
-        return compact(compared.select("a", "b", (1 - F.col("inter") / F.col("uni")).alias("far"), F.expr(_LINKED).alias("linked")).filter(F.col("far") <= RADIUS))
+        return compared.select("a", "b", (1 - F.col("inter") / F.col("uni")).alias("far"), F.expr(_LINKED).alias("linked")).filter(F.col("far") <= RADIUS)
 
     def _anchored(self) -> tuple[DataFrame, DataFrame]:
         """(a: lead, b, far, linked) of the classes and their leads that are within RADIUS, and (cid, anchor, far): each class
@@ -413,7 +414,7 @@ class _Join:
             found = self._near(pairs)
             free = found.join(found.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
             new = compact(free.groupBy(F.col("b").alias("cid")).agg(F.min(F.struct("far", "a")).alias("x")).select("cid", F.col("x.a").alias("anchor"), F.col("x.far").alias("far")))
-            near, follows = (found, new) if near is None else (compact(near.unionByName(found)), compact(follows.unionByName(new)))
+            near, follows = (found, new) if near is None else (near.unionByName(found), follows.unionByName(new))
             if k + 1 < ROUNDS:
                 taken = new.select("cid").unionByName(new.select(F.col("anchor").alias("cid"))).distinct()
                 shared = pairs.select(F.col("b").alias("cid")).distinct()
@@ -448,9 +449,9 @@ class _Join:
         entries = self.classes.agg(F.sum(F.expr(f"n - ({PERCENT} * n + 99) div 100 + 1 + n div 16"))).first()[0] or 0
         # an anchor stands for its followers: for all sizes among them, and it asks for as few shared shingles as any of them
         stands = checkpointed(listed.groupBy("anchor").agg(F.min("n").alias("low"), F.max("n").alias("high")))
-        own = listed.join(stands, "anchor").select(F.col("id").alias("rep"), F.col("cid").alias("key"), "anchor", "low", "high")
+        own = listed.join(stands, "anchor").select(F.xxhash64("id").alias("rep"), F.col("cid").alias("key"), "anchor", "low", "high")
         own = F.broadcast(own) if self.few else own
-        texts = self.texts.join(own, self.texts["id"].eqNullSafe(own["rep"])).select("text", "key", "anchor", "low", "high")
+        texts = self.texts.join(own, F.xxhash64(self.texts["id"]) == own["rep"]).select("text", "key", "anchor", "low", "high")
         buckets = max(int(entries // BUCKET_ROWS) + 1, 24)
         dealt = texts.mapInArrow(_deal(frequent, buckets), "bucket bigint, tokens binary, entries binary")
         lists = checkpointed(dealt.groupBy("bucket").applyInArrow(_lists(buckets), "bucket bigint, entries binary, sizes binary"))
@@ -467,16 +468,16 @@ class _Join:
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are linked."""
-        return compact(self.compare(pairs).filter(_LINKED).select("a", "b"))
+        return self.compare(pairs).filter(_LINKED).select("a", "b")
 
     def compare(self, pairs: DataFrame) -> DataFrame:
         """(a, b, inter, uni) of checkpointed pairs (a, b). The sets are made again from the texts of the classes in question."""
         if pairs.isEmpty():
             return pairs.select("a", "b", F.lit(0).cast("long").alias("inter"), F.lit(1).cast("long").alias("uni"))
         wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-        ids = compact(wanted.join(self.classes, "cid").select(F.col("id").alias("rep")).distinct())
-        ids = F.broadcast(ids) if self.few or ids.count() <= BROADCAST_IDS else ids
-        texts = self.texts.join(ids, self.texts["id"].eqNullSafe(ids["rep"]), "left_semi")
+        ids, count = counted(wanted.join(self.classes, "cid").select(F.xxhash64("id").alias("rep")).distinct())
+        ids = F.broadcast(ids) if count <= BROADCAST_IDS else ids
+        texts = self.texts.join(ids, F.xxhash64(self.texts["id"]) == ids["rep"], "left_semi")
         sets = checkpointed(texts.select("id", "text").mapInArrow(_sets, "cid bigint, tokens binary").filter("cid IS NOT NULL"))
         of = lambda side: sets.select(F.col("cid").alias(side), F.col("tokens").alias(f"tokens_{side}"))
         joined = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "tokens_a", "tokens_b")

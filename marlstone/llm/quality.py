@@ -166,7 +166,10 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(sample), "id").select("id", "text", "label")
     got = sorted(picked.mapInArrow(extract, "id string, label int, x binary").collect())
-    return fit([np.frombuffer(r.x, "<i4").astype(np.int64) for r in got], np.array([r.label for r in got], np.int64))
+    model = fit([np.frombuffer(r.x, "<i4").astype(np.int64) for r in got], np.array([r.label for r in got], np.int64))
+    del got
+    give_back()  # the driver has no other use for what the fit took
+    return model
 
 
 def quality_scores(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
